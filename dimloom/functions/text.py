@@ -33,7 +33,9 @@ def plain_number(value: Column, scale: int) -> Column:
     if scale <= 0:
         return text
     trimmed = F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
-    return F.regexp_replace(trimmed, r"^(-?)0\.", "$1.")
+    return (F.when(trimmed.startswith("0."), F.substring(trimmed, 2, 64))
+            .when(trimmed.startswith("-0."), F.concat(F.lit("-"), F.substring(trimmed, 3, 64)))
+            .otherwise(trimmed))
 
 
 def truncate(value: Column, length: int) -> Column:

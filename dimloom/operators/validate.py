@@ -48,29 +48,52 @@ def reason(rule: Rule) -> str:
     return texts[rule.rule_type][:REASON_LENGTH]
 
 
+def _first_broken(rules: list[Rule], null_fails: bool) -> Column:
+    """Id of the first rule the row breaks: one flat CASE, so every condition stands in the plan once."""
+    found = F
+    for rule in rules:
+        found = found.when(broken(rule, null_fails), F.lit(rule.rule_id).cast("bigint"))
+    return found
+
+
+def _segments(rules: list[Rule]) -> list[list[Rule]]:
+    """Cut the rule list before each rule that fills a column."""
+    parts: list[list[Rule]] = [[]]
+    for rule in rules:
+        if rule.rule_type == "DERIVED" and rule.derived_sql:
+            parts.append([])
+        parts[-1].append(rule)
+    return [p for p in parts if p]
+
+
 def validate_rules(staged: DataFrame, rules: list[Rule], null_fails: bool = False) -> DataFrame:
     """Set ``stg_status``, ``stg_reject_reason`` and ``stg_rule_id`` (the failing rule) on staged rows.
 
     Rows that are not PENDING on entry are left as they are.
     """
     names = {c.lower(): c for c in staged.columns}
-    out = staged.withColumn("stg_rule_id", F.lit(None).cast("bigint"))
-    for rule in rules:
-        waiting = (F.col("stg_status") == "PENDING") & F.col("stg_rule_id").isNull()
-        if rule.rule_type == "DERIVED" and rule.derived_sql:
-            column = names[rule.column_name.lower()]
-            kind = staged.schema[column].dataType
-            filled = F.when(waiting, F.expr(rule.derived_sql)).cast(kind)
+    pending = F.col("stg_status") == "PENDING"
+    out, found = staged, []
+    for number, part in enumerate(_segments(rules)):
+        first = part[0]
+        if first.rule_type == "DERIVED" and first.derived_sql:
+            column = names[first.column_name.lower()]
+            waiting = pending
+            for earlier in found:
+                waiting = waiting & F.col(earlier).isNull()
+            filled = F.when(waiting, F.expr(first.derived_sql)).cast(staged.schema[column].dataType)
             out = out.withColumn(column, F.coalesce(F.col(column), filled))
-        out = out.withColumn(
-            "stg_rule_id",
-            F.when(waiting & broken(rule, null_fails), F.lit(rule.rule_id)).otherwise(F.col("stg_rule_id")))
+        found.append(f"_broken_{number}")
+        out = out.withColumn(found[-1], _first_broken(part, null_fails))
+    rule_id = F.coalesce(*[F.col(c) for c in found]) if found else F.lit(None).cast("bigint")
+    out = out.withColumn("stg_rule_id", F.when(pending, rule_id)).drop(*found)
+    if not rules:
+        return out
+    texts = F.create_map(*[F.lit(v) for r in rules for v in (r.rule_id, reason(r))])
     failed = F.col("stg_rule_id").isNotNull()
-    texts = F.lit(None).cast("string")
-    for rule in rules:
-        texts = F.when(F.col("stg_rule_id") == rule.rule_id, F.lit(reason(rule))).otherwise(texts)
     return out.withColumns({
-        "stg_reject_reason": F.when(failed, texts).otherwise(F.col("stg_reject_reason")),
+        "stg_reject_reason": F.coalesce(F.try_element_at(texts, F.col("stg_rule_id").cast("int")),
+                                        F.col("stg_reject_reason")),
         "stg_status": F.when(failed, F.lit("REJECTED")).otherwise(F.col("stg_status")),
     })
 

@@ -17,6 +17,7 @@ from dimloom.operators.project import mapped_projection
 from dimloom.plans import reports, scoped, transforms
 from dimloom.plans.registry import Rule, default_registry, registry_frames
 from dimloom.sources import scan
+from dimloom.sources.settle import settle
 from verification.fixtures import fixture
 
 FIRST, BEFORE_END = "1900-01-01", "1999-06-30"
@@ -279,13 +280,17 @@ def _incoming(spark, sf) -> DataFrame:
     return transforms.staffing_schedule(fixture(spark, sf, "staffing_src"), 2, AFTER_START, AFTER_END)
 
 
-def _classified(spark, sf) -> DataFrame:
-    return history.classify(_incoming(spark, sf), _schedules(spark, sf), SCHEDULE)
+def _load(spark, sf, rules: list[Rule] = ()) -> tuple[DataFrame, DataFrame]:
+    """The written state and the written classified staging rows of a load, as a run has them."""
+    state = settle(_schedules(spark, sf), "state")
+    rows = _incoming(spark, sf)
+    return state, settle(history.classify(validate.validate_rules(rows, rules) if rules else rows, state, SCHEDULE), "staged")
 
 
 @register
 def scd2_classify(spark, sf):
-    return _classified(spark, sf).select("schedule_id", "stg_action", "stg_record_hash")
+    return history.classify(_incoming(spark, sf), _schedules(spark, sf), SCHEDULE).select(
+        "schedule_id", "stg_action", "stg_record_hash")
 
 
 @register
@@ -296,16 +301,17 @@ def new_keys_anti(spark, sf):
 
 @register
 def scd2_expire(spark, sf):
-    return history.expire(_schedules(spark, sf), _classified(spark, sf), SCHEDULE, LOAD_DAY).drop("dim_ss_id")
+    state, classified = _load(spark, sf)
+    return history.expire(state, classified, SCHEDULE, LOAD_DAY).drop("dim_ss_id")
 
 
 @register
 def scd2_insert(spark, sf):
-    return history.new_versions(_classified(spark, sf), SCHEDULE, LOAD_DAY, LOAD_DAY, 2, 0).drop("dim_ss_id")
+    return history.new_versions(_load(spark, sf)[1], SCHEDULE, LOAD_DAY, LOAD_DAY, 2, 0).drop("dim_ss_id")
 
 
-def _after_load(spark, sf) -> DataFrame:
-    return history.apply_history(_schedules(spark, sf), _classified(spark, sf), SCHEDULE, LOAD_DAY, LOAD_DAY, 2, 0)
+def _after_load(spark, sf, rules: list[Rule] = ()) -> DataFrame:
+    return history.apply_history(*_load(spark, sf, rules), SCHEDULE, LOAD_DAY, LOAD_DAY, 2, 0)
 
 
 @register
@@ -328,7 +334,7 @@ def duplicate_current(spark, sf):
 
 @register
 def surrogate_keys(spark, sf):
-    fresh = history.new_keys(_incoming(spark, sf), _schedules(spark, sf), SCHEDULE)
+    fresh = settle(history.new_keys(_incoming(spark, sf), _schedules(spark, sf), SCHEDULE).select("schedule_id"), "new")
     numbered = keys.assign_keys(fresh, ["schedule_id"], "dim_ss_id", 1000)
     return numbered.agg(F.min("dim_ss_id").alias("lowest"), F.max("dim_ss_id").alias("highest"),
                         F.count("dim_ss_id").alias("rows"), F.count_distinct("dim_ss_id").alias("distinct_keys"))
@@ -346,8 +352,8 @@ def _monthly(spark, sf) -> DataFrame:
 @register
 def incremental_merge(spark, sf):
     staged = transforms.staffing_timeline(fixture(spark, sf, "staffing_src"), 2, AFTER_START, AFTER_END)
-    valid = validate.validate_rules(staged, REGISTRY.rules_of(2))
-    return history.merge_by_key(_monthly(spark, sf), valid, TIMELINE, LOAD_DAY, LOAD_DAY, 2, 0).drop("dim_st_id")
+    valid = settle(validate.validate_rules(staged, REGISTRY.rules_of(2)), "staged")
+    return history.merge_by_key(settle(_monthly(spark, sf), "state"), valid, TIMELINE, LOAD_DAY, LOAD_DAY, 2, 0).drop("dim_st_id")
 
 
 @register
@@ -355,11 +361,11 @@ def incremental_merge_cost(spark, sf):
     source = fixture(spark, sf, "cost_src")
     rules = REGISTRY.rules_of(4)
     before = validate.validate_rules(transforms.cost_timeline(source, 1, FIRST, BEFORE_END), rules)
-    state = before.filter(F.col("stg_status") == "PENDING").select(
+    state = settle(before.filter(F.col("stg_status") == "PENDING").select(
         F.xxhash64("cost_id", "dt_period").alias("dim_tc_id"), *COST_TIMELINE.payload,
         F.col("stg_record_hash").alias("record_hash"), "reporting_date",
-        F.lit(1).cast("bigint").alias("etl_run_id"), F.lit(FIRST_DAY).alias("etl_load_date"))
-    after = validate.validate_rules(transforms.cost_timeline(source, 2, AFTER_START, AFTER_END), rules)
+        F.lit(1).cast("bigint").alias("etl_run_id"), F.lit(FIRST_DAY).alias("etl_load_date")), "state")
+    after = settle(validate.validate_rules(transforms.cost_timeline(source, 2, AFTER_START, AFTER_END), rules), "staged")
     return history.merge_by_key(state, after, COST_TIMELINE, LOAD_DAY, LOAD_DAY, 2, 0).drop("dim_tc_id")
 
 
@@ -377,10 +383,11 @@ def _cost_load(spark, sf) -> DataFrame:
     """Two full loads of the cost dimension, each validated, classified and applied."""
     source, rules = fixture(spark, sf, "cost_src"), REGISTRY.rules_of(3)
     first = validate.validate_rules(transforms.cost(source, 1, FIRST, BEFORE_END), rules)
-    state = history.new_versions(first.withColumn("stg_action", F.lit("INSERT")), COST, FIRST_DAY, FIRST_DAY, 1, 0)
+    opened = settle(first.withColumn("stg_action", F.lit("INSERT")), "staged")
+    state = settle(history.new_versions(opened, COST, FIRST_DAY, FIRST_DAY, 1, 0), "state")
     second = validate.validate_rules(transforms.cost(source, 2, BEFORE_END, AFTER_END), rules)
-    return history.apply_history(state, history.classify(second, state, COST), COST, LOAD_DAY, LOAD_DAY, 2,
-                                 keys.highest_key(state, "dim_cost_id"))
+    return history.apply_history(state, settle(history.classify(second, state, COST), "staged"), COST,
+                                 LOAD_DAY, LOAD_DAY, 2, keys.highest_key(state, "dim_cost_id"))
 
 
 @register
@@ -391,10 +398,7 @@ def cost_entity_load(spark, sf):
 @register
 def staffing_entity_load(spark, sf):
     """Window, latest row, hash, rules, classification and history of the staffing master in one plan."""
-    checked = validate.validate_rules(_incoming(spark, sf), REGISTRY.rules_of(1))
-    state = _schedules(spark, sf)
-    return history.apply_history(state, history.classify(checked, state, SCHEDULE), SCHEDULE,
-                                 LOAD_DAY, LOAD_DAY, 2, 0).drop("dim_ss_id")
+    return _after_load(spark, sf, REGISTRY.rules_of(1)).drop("dim_ss_id")
 
 
 @register
@@ -406,6 +410,11 @@ def current_with_lineage(spark, sf):
 
 # ---------------------------------------------------------------- coding reference
 
+def _reference(spark, sf) -> DataFrame:
+    """The written reference table; its known size lets Spark broadcast it without shuffling the feed."""
+    return settle(fixture(spark, sf, "coding_reference_src"), "reference")
+
+
 @register
 def distinct_codings(spark, sf):
     return coding.distinct_codings(_source_now(spark, sf), PORTFOLIO, DAY)
@@ -414,14 +423,14 @@ def distinct_codings(spark, sf):
 @register
 def gcs_lookup(spark, sf):
     source = scan.scope_filter(_source_now(spark, sf), PORTFOLIO, DAY)
-    return coding.lookup_key(source, fixture(spark, sf, "coding_reference_src"), PORTFOLIO).select(
+    return coding.lookup_key(source, _reference(spark, sf), PORTFOLIO).select(
         "gcs_key", "project_id", "employee_id", "position_number", "order_ref")
 
 
 @register
 def gcs_unmatched(spark, sf):
     source = scan.scope_filter(_source_now(spark, sf), PORTFOLIO, DAY)
-    return coding.unmatched_count(source, fixture(spark, sf, "coding_reference_src"), PORTFOLIO)
+    return coding.unmatched_count(source, _reference(spark, sf), PORTFOLIO)
 
 
 @register
@@ -466,14 +475,14 @@ def _source_now(spark, sf) -> DataFrame:
 def _keyed_before(spark, sf) -> list[tuple[DataFrame, str, dt.date]]:
     """What earlier loads brought in: two portfolios on the day, and an older day."""
     rows = scan.incremental_window(fixture(spark, sf, "coded_src"), "reporting_date", FIRST, BEFORE_END)
-    reference = fixture(spark, sf, "coding_reference_src")
+    reference = _reference(spark, sf)
     return [(coding.lookup_key(rows.filter(F.col("portfolio_id") == p), reference, p), p, day)
             for p, day in ((PORTFOLIO, DAY), (OTHER, DAY), (PORTFOLIO, OLD_DAY))]
 
 
 def _keyed_now(spark, sf) -> DataFrame:
     source = scan.scope_filter(_source_now(spark, sf), PORTFOLIO, DAY)
-    return coding.lookup_key(source, fixture(spark, sf, "coding_reference_src"), PORTFOLIO)
+    return coding.lookup_key(source, _reference(spark, sf), PORTFOLIO)
 
 
 def _before(spark, sf, build) -> DataFrame:
@@ -481,14 +490,14 @@ def _before(spark, sf, build) -> DataFrame:
 
 
 def _schedule_reload(spark, sf, mode: str) -> DataFrame:
-    keyed = _keyed_now(spark, sf)
+    keyed = _keyed_now(spark, sf) if mode == "REPLACE_ALL" else settle(_keyed_now(spark, sf), "keyed")
     old = scoped.reload_schedule(_before(spark, sf, scoped.schedule_rows), keyed, PORTFOLIO, DAY, CENTER, mode,
                                  NOW, "load")
     return old.unionByName(scoped.schedule_rows(keyed, PORTFOLIO, DAY, NOW, "load"))
 
 
 def _timeline_reload(spark, sf, mode: str) -> DataFrame:
-    keyed = _keyed_now(spark, sf)
+    keyed = _keyed_now(spark, sf) if mode == "REPLACE_ALL" else settle(_keyed_now(spark, sf), "keyed")
     old = scoped.reload_timeline(_before(spark, sf, scoped.timeline_rows), keyed, PORTFOLIO, DAY, mode, NOW, "load")
     return old.unionByName(scoped.timeline_rows(keyed, PORTFOLIO, DAY, NOW, "load"))
 
@@ -526,10 +535,9 @@ def cost_full_reload(spark, sf):
 @register
 def timeline_key_ranges(spark, sf):
     """Keys given to feed rows before they fan out to months."""
-    keyed = _keyed_now(spark, sf).select("gcs_key", "employee_id", "position_number", "plan_start_date", "plan_end_date",
-                                         "forecast_start_date", "forecast_end_date", "hours_per_week")
+    keyed = scoped.only_columns(_keyed_now(spark, sf), scoped.TIMELINE_INPUT)
     table = _before(spark, sf, scoped.timeline_rows).select(F.lit(5000).cast("bigint").alias("key"))
-    ranged = scoped.numbered(keyed, table, "key", F.size(F.coalesce(reshape.row_months(), F.array())))
+    ranged = scoped.numbered(keyed, "key", keys.highest_key(table, "key"), scoped.month_count())
     rows = scoped.timeline_rows(ranged, PORTFOLIO, DAY, NOW, "load", "key")
     return rows.agg(F.min("key").alias("lowest"), F.max("key").alias("highest"), F.count("key").alias("rows"),
                     F.count_distinct("key").alias("distinct_keys"))

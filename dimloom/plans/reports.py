@@ -58,7 +58,7 @@ def stale_watermarks(entity: DataFrame, control: DataFrame, as_of: dt.datetime,
         .withColumn("watermark_age_days", age)
         .filter(F.col("last_watermark").isNull() | (F.col("watermark_age_days") > days))
         .select("entity_name", "last_watermark", "last_run_date", "watermark_age_days", "status")
-        .orderBy(F.col("watermark_age_days").desc_nulls_first())
+        .orderBy(F.col("watermark_age_days").desc_nulls_first(), "entity_name")
     )
 
 

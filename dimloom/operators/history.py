@@ -67,10 +67,25 @@ def current_rows(dimension: DataFrame, target: Target) -> DataFrame:
     return dimension.filter(F.col(target.current) == F.lit(target.yes))
 
 
-def classify(staged: DataFrame, dimension: DataFrame, target: Target) -> DataFrame:
-    """Set ``stg_action`` of pending rows: UNCHANGED, UPDATE, or INSERT when no current row exists."""
-    known = _keys_as(current_rows(dimension, target), target,
-                     F.col(target.hash).alias("_hash"), F.lit(True).alias("_known"))
+def _only_staged(rows: DataFrame, staged: DataFrame, target: Target) -> DataFrame:
+    """Rows whose key is staged.
+
+    The staged keys stand on the side Spark may broadcast, so a load that is small against
+    the dimension filters it in place and shuffles no more than it brings.
+    """
+    return rows.join(_keys_as(staged, target), _on(target, rows), "left_semi")
+
+
+def classify(staged: DataFrame, dimension: DataFrame, target: Target, written: bool = False) -> DataFrame:
+    """Set ``stg_action`` of pending rows: UNCHANGED, UPDATE, or INSERT when no current row exists.
+
+    ``written`` says that the staged rows stand in a table, so their size is known and the
+    current rows are first reduced to the staged keys.
+    """
+    current = current_rows(dimension, target)
+    if written:
+        current = _only_staged(current, staged, target)
+    known = _keys_as(current, target, F.col(target.hash).alias("_hash"), F.lit(True).alias("_known"))
     joined = staged.join(known, _on(target, staged), "left")
     action = (
         F.when(F.col("stg_status") != "PENDING", F.col("stg_action"))
@@ -156,7 +171,8 @@ def merge_by_key(dimension: DataFrame, staged: DataFrame, target: Target, as_of:
     kept = joined.select(*[
         F.when(change, values[c]).otherwise(dimension[c]).alias(c) if c in values else dimension[c]
         for c in dimension.columns])
-    absent = pending.join(_keys_as(dimension, target), _on(target, pending), "left_anti")
+    matched = _keys_as(_only_staged(dimension, pending, target), target)
+    absent = pending.join(matched, _on(target, pending), "left_anti")
     added = assign_keys(absent.select(*target.payload, "stg_record_hash"), list(target.business_keys),
                         target.key, after)
     return kept.unionByName(added.select(

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A task that writes few partitions keeps their files open instead of sorting its rows.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
     # The runtime threshold decides on the measured shuffle size of a side.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
 }

@@ -282,9 +282,9 @@ def _incoming(spark, sf) -> DataFrame:
 
 def _load(spark, sf, rules: list[Rule] = ()) -> tuple[DataFrame, DataFrame]:
     """The written state and the written classified staging rows of a load, as a run has them."""
-    state = settle(_schedules(spark, sf), "state")
-    rows = _incoming(spark, sf)
-    return state, settle(history.classify(validate.validate_rules(rows, rules) if rules else rows, state, SCHEDULE), "staged")
+    state, rows = settle(_schedules(spark, sf), "state"), _incoming(spark, sf)
+    checked = validate.validate_rules(rows, rules) if rules else rows
+    return state, settle(history.classify(checked, state, SCHEDULE), "staged")
 
 
 @register

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dimloom.functions.dates import within_day
 from dimloom.functions.text import all_of, code_prefix, dotted_key
 from dimloom.operators.keys import assign_keys, highest_key
 from dimloom.sources.scan import scope_filter
@@ -48,6 +49,21 @@ def distinct_codings(source: DataFrame, portfolio: str, day: dt.date | str) -> D
     return coding_prefixes(scope_filter(source, portfolio, day)).distinct()
 
 
+def stage_codings(source: DataFrame, portfolio: str, day: dt.date | str, flag: str, now: dt.datetime,
+                  user: str) -> DataFrame:
+    """Distinct combinations of a scope as staged rows, tagged with the feed they come from."""
+    other = "cost_flag" if flag == "staffing_flag" else "staffing_flag"
+    return distinct_codings(source, portfolio, day).withColumns({
+        flag: F.lit(1), other: F.lit(None).cast("int"), "is_valid": F.lit(1),
+        "dt_created": F.lit(now).cast("timestamp_ntz"), "created_by": F.lit(user)})
+
+
+def purge_codings(staged: DataFrame, portfolio: str, day: dt.date | dt.datetime) -> DataFrame:
+    """Drop what was staged for the portfolio on that day, so a repeated load stages it once."""
+    again = (F.col("portfolio_id") == F.lit(portfolio)) & within_day(F.col("dt_created"), day)
+    return staged.filter(~again)
+
+
 def _same_codes(left: DataFrame, right: DataFrame) -> Column:
     return all_of([left[c].eqNullSafe(right[c]) for c in CODING_COLUMNS])
 

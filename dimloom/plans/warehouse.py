@@ -27,6 +27,8 @@ CONTROL = "entity_name string, run_id bigint, last_watermark date, last_run_date
 RUN_LOG = ("run_id bigint, entity_id bigint, mapping_id bigint, start_time timestamp_ntz, end_time timestamp_ntz, "
            "status string, rows_read bigint, rows_inserted bigint, rows_updated bigint, rows_expired bigint, "
            "rows_skipped bigint, rows_rejected bigint, error_message string, entry int")
+STEP_LOG = ("step_id bigint, run_id bigint, step_name string, start_time timestamp_ntz, end_time timestamp_ntz, "
+            "status string, rows_affected bigint, step_message string")
 ERROR_LOG = ("run_id bigint, entity_name string, target_table string, error_code string, error_message string, "
              "error_time timestamp_ntz, record_key string, record_data string")
 
@@ -78,6 +80,12 @@ class Warehouse:
     def error_log(self) -> DataFrame:
         return self._log("error_log", ERROR_LOG)
 
+    def step_log(self) -> DataFrame:
+        return self._log("step_log", STEP_LOG)
+
+    def log_steps(self, rows: list[dict]) -> None:
+        self._append("step_log", STEP_LOG, rows)
+
     def open_run(self, entity_id: int | None, now: dt.datetime) -> int:
         """Take the next run id by logging the run as RUNNING; a failed run keeps its id."""
         last = self._log("run_log", RUN_LOG).agg(F.max("run_id")).first()[0] or 0

@@ -13,6 +13,17 @@ def duck():
     return connect(SMALL)
 
 
+@pytest.fixture(autouse=True, scope="module")
+def compiled(spark):
+    """Run the queries as a cluster would, with generated code."""
+    keys = ("spark.sql.codegen.wholeStage", "spark.sql.codegen.factoryMode")
+    for key, value in zip(keys, ("true", "FALLBACK")):
+        spark.conf.set(key, value)
+    yield
+    for key, value in zip(keys, ("false", "NO_CODEGEN")):
+        spark.conf.set(key, value)
+
+
 def test_every_query_has_sql():
     assert set(contract.queries()) == set(contract.oracle_sql())
 

@@ -79,6 +79,10 @@ def test_two_runs_and_a_run_without_news(spark, warehouse):
     assert dimension(warehouse, "dim_staffing_schedule").count() == 4
     log = {(r.run_id, r.mapping_id): r.status for r in warehouse.run_log().collect()}
     assert set(log.values()) == {"SUCCESS"} and len(log) == 7
+    steps = reports.step_detail(warehouse.step_log(), second.run_id).collect()
+    assert [(s.step_name, s.rows_affected) for s in steps] == [
+        ("STAGE:stg_staffing_schedule", 3), ("SCD2:dim_staffing_schedule", 2),
+        ("STAGE:stg_staffing_timeline", 3), ("INCREMENTAL:dim_staffing_timeline", 3)]
     errors = {r.error_code for r in warehouse.error_log().collect()}
     assert errors == {"VAL_NOT_NULL", "VAL_DERIVED_NULL"}
     summary = reports.recent_runs(warehouse.run_log(), *[registry_frames(spark, default_registry())[n]

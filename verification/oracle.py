@@ -428,6 +428,11 @@ def oracle_sql() -> dict[str, str]:
 
     feed = {"feed": NOW_FEED, "scope": NOW_SCOPE}
     o["distinct_codings"] = _with(f"SELECT DISTINCT portfolio_id, {PREFIXES} FROM scope", **feed)
+    o["gcs_stage_codings"] = _with(f"""SELECT DISTINCT portfolio_id, {PREFIXES}, 1 AS staffing_flag,
+      CAST(NULL AS INTEGER) AS cost_flag, 1 AS is_valid, TIMESTAMP '1998-01-31 06:00:00' AS dt_created,
+      'before' AS created_by FROM feed WHERE portfolio_id = 'P2'
+      UNION ALL SELECT DISTINCT portfolio_id, {PREFIXES}, CAST(NULL AS INTEGER), 1, 1, TIMESTAMP '1998-02-01 06:00:00',
+      'load' FROM scope""", **feed)
     o["gcs_lookup"] = _with(f"SELECT gcs_key, project_id, employee_id, position_number, order_ref "
                             f"FROM ({_keyed('scope', 'P1')})", **feed)
     o["gcs_unmatched"] = _with(f"SELECT (SELECT count(*) FROM scope) - (SELECT count(*) FROM ({_keyed('scope', 'P1')})) "

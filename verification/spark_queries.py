@@ -420,6 +420,15 @@ def distinct_codings(spark, sf):
     return coding.distinct_codings(_source_now(spark, sf), PORTFOLIO, DAY)
 
 
+@register
+def gcs_stage_codings(spark, sf):
+    """The day's combinations were staged before; staging the portfolio again replaces them."""
+    staged = staging.union_all([coding.stage_codings(_source_now(spark, sf), p, DAY, "staffing_flag", THEN, "before")
+                                for p in (PORTFOLIO, OTHER)])
+    again = coding.stage_codings(_source_now(spark, sf), PORTFOLIO, DAY, "cost_flag", NOW, "load")
+    return coding.purge_codings(staged, PORTFOLIO, THEN).unionByName(again)
+
+
 @register
 def gcs_lookup(spark, sf):
     source = scan.scope_filter(_source_now(spark, sf), PORTFOLIO, DAY)

@@ -481,21 +481,19 @@ def _source_now(spark, sf) -> DataFrame:
     return rows.withColumn("reporting_date", F.lit(DAY))
 
 
-def _keyed_before(spark, sf) -> list[tuple[DataFrame, str, dt.date]]:
-    """What earlier loads brought in: two portfolios on the day, and an older day."""
-    rows = scan.incremental_window(fixture(spark, sf, "coded_src"), "reporting_date", FIRST, BEFORE_END)
-    reference = _reference(spark, sf)
-    return [(coding.lookup_key(rows.filter(F.col("portfolio_id") == p), reference, p), p, day)
-            for p, day in ((PORTFOLIO, DAY), (OTHER, DAY), (PORTFOLIO, OLD_DAY))]
-
-
 def _keyed_now(spark, sf) -> DataFrame:
     source = scan.scope_filter(_source_now(spark, sf), PORTFOLIO, DAY)
     return coding.lookup_key(source, _reference(spark, sf), PORTFOLIO)
 
 
 def _before(spark, sf, build) -> DataFrame:
-    return staging.union_all([build(k, p, d, THEN, "before") for k, p, d in _keyed_before(spark, sf)])
+    """What earlier loads wrote: two portfolios on the day, one of them on an older day too."""
+    rows = scan.incremental_window(fixture(spark, sf, "coded_src"), "reporting_date", FIRST, BEFORE_END)
+    reference = _reference(spark, sf)
+    own, other = (build(coding.lookup_key(rows.filter(F.col("portfolio_id") == p), reference, p), p, DAY, THEN, "before")
+                  for p in (PORTFOLIO, OTHER))
+    days = F.explode(F.array(F.lit(DAY), F.lit(OLD_DAY)))
+    return own.withColumn("dt_reporting", days).unionByName(other)
 
 
 def _schedule_reload(spark, sf, mode: str) -> DataFrame:

@@ -7,15 +7,24 @@ import uuid
 
 from pyspark.sql import DataFrame
 
+_LOCAL: dict[str, str] = {}
+
 
 def shared_folder(df: DataFrame) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a temporary one where none is named."""
+    """The folder named in ``spark.checkpoint.dir``; one of its own for a local session without it.
+
+    On a cluster every executor must see the folder, so there it has to be named.
+    """
     spark = df.sparkSession
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="dimloom-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    if named:
+        return named
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="dimloom-")
+    return _LOCAL[context.applicationId]
 
 
 def settle(df: DataFrame, name: str = "rows") -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dimloom.llm import decontaminate, simhash
+from dimloom.llm import bpe, decontaminate, disclosure, simhash
 from dimloom.llm.common import table
 
 
@@ -18,8 +19,17 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op10_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return disclosure.digests(table(spark, sf_dir, "documents"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_simhash_near_dedup, op6_benchmark_decontamination)}
+    return {f.__name__: f for f in (
+        op5_simhash_near_dedup, op6_benchmark_decontamination, op7_bpe_coding, op10_pii_disclosure)}
 
 
 def oracle_sql() -> dict[str, str]:

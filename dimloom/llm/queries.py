@@ -6,9 +6,16 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dimloom.llm import bpe, decontaminate, disclosure, simhash
-from dimloom.llm.common import table
+from dimloom.llm import bpe, decontaminate, disclosure, simhash, toxicity
+from dimloom.llm.common import fold, table
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.select("doc_id", "toxic").filter(fold("doc_id", 5) != 0))
+    return toxicity.scores(docs, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +36,7 @@ def op10_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op5_simhash_near_dedup, op6_benchmark_decontamination, op7_bpe_coding, op10_pii_disclosure)}
+        op1_toxicity, op5_simhash_near_dedup, op6_benchmark_decontamination, op7_bpe_coding, op10_pii_disclosure)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimloom.llm import bpe, decontaminate, disclosure, simhash, toxicity
+from dimloom.llm import bpe, decontaminate, disclosure, langid, simhash, toxicity
 from dimloom.llm.common import fold, table
 
 
@@ -30,13 +30,20 @@ def op7_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(fold("doc_id", 4) != 2).select("text", "lang"))
+    return langid.predict(docs, model).withColumn("held_out", fold("doc_id", 4) == 2).select(
+        "doc_id", "held_out", "lang_pred", "score", "languages", "proportions")
+
+
 def op10_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return disclosure.digests(table(spark, sf_dir, "documents"))
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_toxicity, op5_simhash_near_dedup, op6_benchmark_decontamination, op7_bpe_coding, op10_pii_disclosure)}
+        op1_toxicity, op5_simhash_near_dedup, op6_benchmark_decontamination, op7_bpe_coding, op9_language_id, op10_pii_disclosure)}
 
 
 def oracle_sql() -> dict[str, str]:

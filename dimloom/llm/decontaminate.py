@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimloom.llm.common import ascii_lower, let
+from dimloom.llm.common import ascii_lower, cut, let
 
 #: Characters between words: all of ASCII but digits and lower-case letters.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
@@ -19,6 +19,8 @@ RAW_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 #: A window table up to this many rows (some 60 MB) is broadcast; a larger one is joined by a shuffle on the window's hash.
 BROADCAST_WINDOWS = 200_000
+#: The same for documents with hits, joined back to whole rows.
+BROADCAST_LEAKS = 50_000
 
 
 def words(text: Column) -> Column:
@@ -26,19 +28,34 @@ def words(text: Column) -> Column:
 
 
 def _windows(tokens: Column, n: int) -> Column:
-    """Hashes of all windows of ``n`` words, by position."""
-    return let(tokens, lambda ws: F.when(F.size(ws) >= n, F.transform(
-        F.sequence(F.lit(1), F.size(ws) - (n - 1)), lambda i: F.xxhash64(F.slice(ws, i, n))))
-        .otherwise(F.array().cast("array<bigint>")))
+    """Hashes of all windows of ``n`` words, by position.
+
+    Hashes of 1, 2, 4, ... words are joined pairwise, so a window costs a few hashes of two numbers rather than of ``n`` words.
+    """
+    def joined(left: Column, right: Column, away: int) -> Column:
+        return F.transform(left, lambda x, i: F.xxhash64(x, F.get(right, i + away)))
+
+    def grow(by_width: dict[int, Column]) -> Column:
+        width = max(by_width)
+        if 2 * width <= n:
+            one = by_width[width]
+            return let(joined(one, one, width), lambda two: grow(by_width | {2 * width: two}))
+        whole, done = by_width[width], width
+        for part in sorted(by_width, reverse=True)[1:]:
+            if done + part <= n:
+                whole, done = joined(whole, by_width[part], done), done + part
+        return F.slice(whole, F.lit(1), F.greatest(F.size(whole) - (n - 1), F.lit(0)))
+
+    return let(F.transform(tokens, lambda w: F.xxhash64(w)), lambda one: grow({1: one}))
 
 
 def benchmark_windows(benchmark: DataFrame, n: int = 10) -> DataFrame:
-    """(h, n, window, items): distinct windows; an item of fewer words is one window of its own length."""
+    """(n, window, items): distinct windows; an item of fewer words is one window of its own length."""
     tokens = benchmark.select("item_id", words(F.col("text")).alias("ws")).filter(F.size("ws") > 0)
     starts = tokens.select("item_id", "ws", F.explode(F.sequence(F.lit(1), F.greatest(F.size("ws") - (n - 1), F.lit(1)))).alias("i"))
     return (starts.select("item_id", F.slice("ws", F.col("i"), n).alias("window"))
             .groupBy("window").agg(F.collect_set("item_id").alias("items"))
-            .select(F.xxhash64("window").alias("h"), F.size("window").alias("n"), "window", "items"))
+            .select(F.size("window").alias("n"), "window", "items"))
 
 
 def _hits(keyed: DataFrame, windows: DataFrame) -> DataFrame:
@@ -49,7 +66,7 @@ def _hits(keyed: DataFrame, windows: DataFrame) -> DataFrame:
     small = sum(row["count"] for row in sizes) <= BROADCAST_WINDOWS
     found = None
     for row in sizes:
-        listed = windows.filter(F.col("n") == row["n"])
+        listed = windows.filter(F.col("n") == row["n"]).withColumn("h", _windows(F.col("window"), row["n"])[0])
         scanned = (keyed.select("doc_id", "text_hash", words(F.col("text")).alias("ws"))
                    .select("doc_id", "text_hash", "ws", F.posexplode(_windows(F.col("ws"), row["n"])).alias("pos", "h")))
         part = (scanned.join(F.broadcast(listed) if small else listed, "h")
@@ -83,21 +100,28 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
             .select("doc_id", "text_hash", "n_hit", "items", "spans"))
 
 
-def _with_leaks(docs: DataFrame, benchmark: DataFrame, n: int, how: str = "left") -> DataFrame:
-    """(doc, leak): whole rows as structs, so that no column of the input can clash."""
-    leaks = find_leaks(docs.select("doc_id", "text"), benchmark, n).select(F.struct("*").alias("leak"))
-    return docs.select(F.struct("*").alias("doc")).join(
-        leaks, F.col("doc.doc_id").eqNullSafe(F.col("leak.doc_id")) & (F.xxhash64("doc.text") == F.col("leak.text_hash")), how)
-
-
 def report(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    names = F.coalesce(F.array_sort(F.transform("leak.items", lambda i: i.cast("string"))), F.array().cast("array<string>"))
-    hit = F.coalesce("leak.n_hit", F.lit(0).cast("bigint"))
-    return _with_leaks(docs.select("doc_id", "text"), benchmark, n).select(
-        "doc.doc_id", F.size(words(F.col("doc.text"))).cast("bigint").alias("n_words"), hit.alias("n_hit"),
-        F.size(names).cast("bigint").alias("n_items"), F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
-        (hit > 0).alias("contaminated"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.size(words(F.col("text"))).cast("bigint").alias("n_words"))
+    leaks = find_leaks(docs, benchmark, n)
+    names = F.coalesce(F.array_sort(F.transform("l.items", lambda i: i.cast("string"))), F.array().cast("array<string>"))
+    hit = F.coalesce("l.n_hit", F.lit(0).cast("bigint"))
+    return rows.alias("d").join(leaks.alias("l"), _same_row("d.doc_id", "d.text_hash", "l"), "left").select(
+        "d.doc_id", "n_words", hit.alias("n_hit"), F.size(names).cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
+def _same_row(doc_id: str, text_hash: Column | str, leaks: str) -> Column:
+    text_hash = F.col(text_hash) if isinstance(text_hash, str) else text_hash
+    return F.col(doc_id).eqNullSafe(F.col(f"{leaks}.doc_id")) & (text_hash == F.col(f"{leaks}.text_hash"))
+
+
+def _with_leaks(docs: DataFrame, benchmark: DataFrame, n: int, how: str = "left") -> DataFrame:
+    """(doc, leak): whole rows as structs, so that no column of the input can clash.  A few leaks are broadcast, many shuffled."""
+    leaks = cut(find_leaks(docs.select("doc_id", "text"), benchmark, n)).select(F.struct("*").alias("leak"))
+    if leaks.count() <= BROADCAST_LEAKS:
+        leaks = F.broadcast(leaks)
+    return docs.select(F.struct("*").alias("doc")).join(leaks, _same_row("doc.doc_id", F.xxhash64("doc.text"), "leak"), how)
 
 
 def drop_documents(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimloom.llm import bpe, decontaminate, disclosure, langid, simhash, toxicity
+from dimloom.llm import bpe, decontaminate, disclosure, langid, pq, simhash, toxicity
 from dimloom.llm.common import fold, table
 
 
@@ -30,6 +30,10 @@ def op7_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq.links(table(spark, sf_dir, "embeddings"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.filter(fold("doc_id", 4) != 2).select("text", "lang"))
@@ -43,12 +47,12 @@ def op10_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_toxicity, op5_simhash_near_dedup, op6_benchmark_decontamination, op7_bpe_coding, op9_language_id, op10_pii_disclosure)}
+        op1_toxicity, op5_simhash_near_dedup, op6_benchmark_decontamination, op7_bpe_coding, op8_embedding_near_dedup, op9_language_id, op10_pii_disclosure)}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the operators that SQL can express."""
-    return {"op6_benchmark_decontamination": OP6}
+    return {"op6_benchmark_decontamination": OP6, "op8_embedding_near_dedup": OP8}
 
 
 OP6 = r"""
@@ -73,3 +77,19 @@ SELECT doc.doc_id AS doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN word ON doc.doc_id = word.doc_id LEFT JOIN named ON doc.doc_id = named.doc_id
 """
+
+OP8 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e) * list_dot_product(b.e, b.e)) >= 0.9),
+reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+class AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, coalesce(component_id, vec_id) AS component_id,
+       coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN class ON vec_id = class.a LEFT JOIN degree ON vec_id = degree.a
+"""

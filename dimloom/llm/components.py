@@ -24,13 +24,13 @@ def contract(edges: DataFrame) -> DataFrame:
         hooks = cut(both.groupBy(F.col("a").alias("node"))
                     .agg(F.min(F.least(rank(F.col("a")), rank(F.col("b"))))["v"].alias("root")))
         rounds.append(hooks)
-        left = cut(proper(left.join(hooks.withColumnsRenamed({"node": "a", "root": "ra"}), "a")
-                          .join(hooks.withColumnsRenamed({"node": "b", "root": "rb"}), "b")
+        left = cut(proper(left.join(hooks.toDF("a", "ra"), "a")
+                          .join(hooks.toDF("b", "rb"), "b")
                           .select(F.col("ra").alias("a"), F.col("rb").alias("b"))))
     if not rounds:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).limit(0)
     found = rounds[0]
     for later in rounds[1:]:
-        found = (found.join(later.withColumnsRenamed({"node": "root", "root": "next"}), "root", "left")
+        found = (found.join(later.toDF("root", "next"), "root", "left")
                  .select("node", F.coalesce("next", "root").alias("root")))
     return found

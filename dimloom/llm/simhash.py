@@ -62,6 +62,7 @@ def forest(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.nd
     nodes = np.unique(np.concatenate((a, b)))
     at_a, at_b = np.searchsorted(nodes, a), np.searchsorted(nodes, b)
     root = np.arange(len(nodes))
+    a, b = a.view(np.uint64), b.view(np.uint64)  # of a signed number, numpy counts the bits of the absolute value
     step = max(1, 262_144 // max(1, len(b)))
     for i in range(0, len(a), step):
         x, y = np.nonzero(np.bitwise_count(a[i:i + step, None] ^ b[None, :]) <= radius)

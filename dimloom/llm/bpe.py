@@ -141,8 +141,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, ids binary, decoded string")
 
 
-def digests(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row."""
+def digests(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids) of every row."""
     return encode(docs, path).select(
         "doc_id", F.expr("octet_length(ids) div 4").cast("bigint").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), *["ids"] * keep_ids)

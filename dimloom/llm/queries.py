@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimloom.llm import bpe, decontaminate, disclosure, langid, pq, simhash, toxicity
+from dimloom.llm import bpe, decontaminate, disclosure, langid, ppm, pq, simhash, toxicity
 from dimloom.llm.common import fold, table
 
 
@@ -18,6 +18,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(docs, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op2_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = ppm.fit(docs.filter(fold("doc_id", 5) != 1).select("text"))
+    return ppm.score(docs, model).withColumn("held_out", fold("doc_id", 5) == 1)
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
@@ -47,7 +53,7 @@ def op10_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_toxicity, op5_simhash_near_dedup, op6_benchmark_decontamination, op7_bpe_coding, op8_embedding_near_dedup, op9_language_id, op10_pii_disclosure)}
+        op1_toxicity, op2_ppm_scores, op5_simhash_near_dedup, op6_benchmark_decontamination, op7_bpe_coding, op8_embedding_near_dedup, op9_language_id, op10_pii_disclosure)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimloom.llm import bpe, decontaminate, disclosure, langid, ppm, pq, simhash, toxicity
+from dimloom.llm import bpe, decontaminate, disclosure, langid, pages, ppm, pq, simhash, toxicity
 from dimloom.llm.common import fold, table
 
 
@@ -24,6 +24,11 @@ def op2_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(docs, model).withColumn("held_out", fold("doc_id", 5) == 1)
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "pages")
+    return pages.extract(rows, pages.fit(rows))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
@@ -53,7 +58,7 @@ def op10_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_toxicity, op2_ppm_scores, op5_simhash_near_dedup, op6_benchmark_decontamination, op7_bpe_coding, op8_embedding_near_dedup, op9_language_id, op10_pii_disclosure)}
+        op1_toxicity, op2_ppm_scores, op3_html_extraction, op5_simhash_near_dedup, op6_benchmark_decontamination, op7_bpe_coding, op8_embedding_near_dedup, op9_language_id, op10_pii_disclosure)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimloom.llm import bpe, decontaminate, disclosure, langid, pages, ppm, pq, simhash, toxicity
+from dimloom.llm import bpe, decontaminate, disclosure, langid, licences, pages, ppm, pq, simhash, toxicity
 from dimloom.llm.common import fold, table
 
 
@@ -29,6 +29,11 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(rows, pages.fit(rows))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licences.scan(docs, licences.fit(docs))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
@@ -58,7 +63,7 @@ def op10_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_toxicity, op2_ppm_scores, op3_html_extraction, op5_simhash_near_dedup, op6_benchmark_decontamination, op7_bpe_coding, op8_embedding_near_dedup, op9_language_id, op10_pii_disclosure)}
+        op1_toxicity, op2_ppm_scores, op3_html_extraction, op4_license_scan, op5_simhash_near_dedup, op6_benchmark_decontamination, op7_bpe_coding, op8_embedding_near_dedup, op9_language_id, op10_pii_disclosure)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -137,5 +137,5 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFram
         lambda p, i: ~F.exists(spans, lambda s: (s["start"] <= i) & (i < s["end"]))))
     clean = (F.when(F.col("leak.n_hit") > 0, F.concat(F.regexp_extract(text, f"^{RAW_GAP}*", 0), F.array_join(kept, "")))
              .otherwise(text))
-    return _with_leaks(docs, benchmark, n).select("doc.*", clean.alias("_clean")).select(
-        *[F.col("_clean").alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    return _with_leaks(docs, benchmark, n).select("doc", clean.alias("_clean")).select(
+        *[F.col("_clean").alias(c) if c == "text" else F.col("doc").getField(c).alias(c) for c in docs.columns])

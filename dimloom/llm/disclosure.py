@@ -135,8 +135,9 @@ def disclosing_terms(docs: DataFrame, scanned: DataFrame, support: int = 3, gene
     if not n_terms:
         return pairs.select("entity", "term", F.lit(1.0).alias("share"), F.lit(True).alias("remove"))
     everywhere = docs.select(F.explode(F.array_distinct(F.split(ascii_lower(F.coalesce("text", F.lit(""))), _GAP))).alias("term"))
-    count_t = (everywhere.join(F.broadcast(terms) if n_terms <= BROADCAST_TERMS else terms, "term", "left_semi")
-               .groupBy("term").agg(F.count(F.lit(1)).alias("c_t")))
+    # Counted before the join: a common term would pass it once for every document.  (Spark moves a semi join below the count.)
+    count_t = (everywhere.groupBy("term").agg(F.count(F.lit(1)).alias("c_t"))
+               .join(F.broadcast(terms) if n_terms <= BROADCAST_TERMS else terms, "term"))
     total = F.lit(float(max(2, scanned.count())))
     share = F.log2(F.col("c_te") * total / (F.col("c_t") * F.col("c_e"))) / F.greatest(-F.log2(F.col("c_e") / total), F.lit(1e-9))
     return (pairs.join(count_t, "term").withColumn("share", share).filter(F.col("share") >= generalise_at)

@@ -28,7 +28,10 @@ from pyspark.sql import functions as F
 #: Sampled pages and layouts made of each.
 TRAIN_PAGES, LAYOUTS = 120, 5
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>|[^<]+|<", re.S)
+#: A tag with a quote that is never closed.
+_LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
+_BEGUN = re.compile(r"</?[a-zA-Z]")
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _RAW = frozenset("script style textarea title noscript template svg iframe select xmp".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -80,8 +83,10 @@ def blocks_of(html: str) -> list[Block]:
 
     while at < n:
         m = _TOKEN.match(html, at)
-        if m is None:  # an unclosed tag at the end
-            break
+        if m[0] == "<" and _BEGUN.match(html, at):
+            m = _LOOSE.match(html, at)
+            if m is None:  # an unclosed tag at the end
+                break
         at, tag = m.end(), m[2]
         if tag is None:
             piece = m[0]

@@ -43,7 +43,7 @@ def words_of(text: str | None) -> list[bytes]:
 def grams(texts: list[bytes], order: int) -> np.ndarray:
     """The ``order`` + 1 bytes that end at every byte of every text, packed; texts begin after line feeds."""
     pad = b"\n" * order
-    joined = np.frombuffer(pad + b"\n".join(t + b"\n" + pad[1:] for t in texts) if order else b"".join(t + b"\n" for t in texts), np.uint8)
+    joined = np.frombuffer(pad + (b"\n" + pad).join(texts) + b"\n", np.uint8)
     n = len(joined) - order
     key = np.zeros(n, _U)
     for k in range(order + 1):

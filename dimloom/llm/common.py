@@ -36,7 +36,7 @@ def cut(df: DataFrame) -> DataFrame:
 
     Spark's cleaner removes the files with the DataFrame if
     ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on.  Only a single-process session without that setting (tests)
-    gets a folder of its own.
+    gets a folder of its own.  A few files for each core are enough, so many small partitions are read together.
     """
     spark = df.sparkSession
     context = spark.sparkContext
@@ -47,4 +47,4 @@ def cut(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             named = tempfile.mkdtemp(prefix="dimloom-checkpoints-")
         context.setCheckpointDir(named)
-    return df.checkpoint()
+    return df.coalesce(4 * context.defaultParallelism).checkpoint()

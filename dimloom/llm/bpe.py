@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CUT_BITS = 9
-#: Cached pieces (in each of two generations) and chunks per worker: some 150 MB and 20 MB.  Longer pieces are encoded anew.
-PIECES, PIECE_CHARS, CHUNKS = 350_000, 48, 12_000
+#: Cached pieces (in each of two generations) and chunks per worker: some 90 MB and 10 MB.  Longer pieces are encoded anew.
+PIECES, PIECE_CHARS, CHUNKS = 220_000, 48, 5_000
 #: Texts handed back at once.
 ROWS_OUT = 400
 
@@ -43,31 +43,23 @@ def cuts(text: str, bits: int = CUT_BITS) -> list[int]:
 
 
 class Pieces(dict):
-    """Ids of blank-separated pieces, packed; a piece not cached is encoded when asked for."""
+    """Ids of blank-separated pieces, packed; a piece that is not cached is encoded when asked for."""
 
     def __init__(self, tokenizer) -> None:
         super().__init__({"": b""})
         self.tokenizer, self.older = tokenizer, {}
 
     def __missing__(self, piece: str) -> bytes:
-        return packed(self.tokenizer.encode(piece, add_special_tokens=False).ids)
-
-    def learn(self, texts: list[str]) -> None:
-        """Make the short pieces of ``texts`` ready, encoding in one call those met for the first time or long ago."""
-        new = [p for p in set(" ".join(texts).split(" ")) - self.keys() if len(p) <= PIECE_CHARS]
-        if len(self) + len(new) > PIECES:
-            self.older = dict(self)
-            self.clear()
-            self[""] = b""
-            new = [p for p in set(" ".join(texts).split(" ")) if 0 < len(p) <= PIECE_CHARS]
-        known = self.older
-        self.update((p, known[p]) for p in new if p in known)
-        new = [p for p in new if p not in known]
-        self.update(zip(new, [packed(e.ids) for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]))
-
-
-def packed(ids: list[int]) -> bytes:
-    return array("I", ids).tobytes()
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+        if len(piece) <= PIECE_CHARS:
+            if len(self) > PIECES:  # what is still in use comes back from the older half
+                self.older = dict(self)
+                self.clear()
+                self[""] = b""
+            self[piece] = ids
+        return ids
 
 
 class Coder:
@@ -133,7 +125,6 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             for i in range(0, len(batch), ROWS_OUT):
                 part = batch.iloc[i:i + ROWS_OUT]
                 texts = [(t or "").replace("\n", " ") for t in part["text"]]
-                own.pieces.learn(texts)
                 ids = [own.encode(t) for t in texts]
                 yield pd.DataFrame({"doc_id": part["doc_id"].array, "ids": ids, "decoded": [own.decode(i) for i in ids]})
 

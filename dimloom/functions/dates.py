@@ -18,6 +18,19 @@ def as_date(value: dt.date | dt.datetime | str) -> dt.date:
     return value if isinstance(value, dt.date) else dt.date.fromisoformat(str(value)[:10])
 
 
+def as_moment(value: dt.date | dt.datetime | str) -> dt.datetime:
+    """The value with its time of day; midnight for a date."""
+    if isinstance(value, str):
+        return dt.datetime.fromisoformat(value)
+    return value if isinstance(value, dt.datetime) else dt.datetime.combine(value, dt.time())
+
+
+def as_bound(value: dt.date | dt.datetime | str) -> dt.date | dt.datetime:
+    """A date where there is no time of day, so that a date column is compared with a date."""
+    moment = as_moment(value)
+    return moment.date() if moment.time() == dt.time() else moment
+
+
 def month_start(day: Column) -> Column:
     return F.trunc(day, "MM")
 

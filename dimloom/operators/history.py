@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from dimloom.functions.dates import OPEN_END
 from dimloom.operators.keys import assign_keys
+from dimloom.operators.staging import union_all
 from dimloom.plans.registry import Mapping, Registry
 
 
@@ -188,6 +189,13 @@ def duplicate_current(dimension: DataFrame, target: Target) -> DataFrame:
             .filter(F.col("duplicate_count") > 1))
 
 
+def duplicate_report(dimensions: dict[str, tuple[DataFrame, Target]]) -> DataFrame:
+    """Keys with more than one current row, of several dimensions with a single key column each."""
+    return union_all([
+        duplicate_current(df, target).select(F.lit(name).alias("dimension"), F.col(target.business_keys[0]).alias("record_key"),
+                                             "duplicate_count") for name, (df, target) in dimensions.items()])
+
+
 def version_history(dimension: DataFrame, target: Target, key: dict[str, object] | None = None) -> DataFrame:
     """Versions by effective start; of one business key, or of all."""
     rows = dimension

@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Copies of one row that are written out inside one task; larger groups are split.
+#: Copies of one row that are numbered and written out together.
 COPIES_PER_TASK = 100_000
+#: Hash buckets of the numbering.  Part of the numbers' definition: another count gives other keys.
+BUCKETS = 4096
 
 
 def highest_key(table: DataFrame, key: str) -> Column:
@@ -19,7 +21,7 @@ def highest_key(table: DataFrame, key: str) -> Column:
 
 
 def assign_ranges(rows: DataFrame, by: list[str], first: str, after: Column | int, width: Column,
-                  buckets: int | None = None) -> DataFrame:
+                  buckets: int = BUCKETS) -> DataFrame:
     """Give every row ``width`` consecutive numbers; ``first`` holds the lowest of them.
 
     Rows are spread over hash buckets of ``by``, counted inside their bucket and shifted by
@@ -27,10 +29,9 @@ def assign_ranges(rows: DataFrame, by: list[str], first: str, after: Column | in
     bucket totals pass through one task and get broadcast: ``buckets`` rows, whatever the
     data size.
     """
-    n = buckets or 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     base = after if isinstance(after, Column) else F.lit(int(after)).cast("bigint")
     tagged = rows.withColumns({
-        "_bucket": F.pmod(F.xxhash64(*by), F.lit(n)).cast("int"), "_width": width.cast("bigint")})
+        "_bucket": F.pmod(F.xxhash64(*by), F.lit(buckets)).cast("int"), "_width": width.cast("bigint")})
     totals = tagged.groupBy("_bucket").agg(F.sum("_width").alias("_total"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     shift = totals.select("_bucket", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_shift"))
@@ -44,32 +45,24 @@ def assign_ranges(rows: DataFrame, by: list[str], first: str, after: Column | in
 
 
 def assign_keys(rows: DataFrame, by: list[str], name: str, after: Column | int,
-                buckets: int | None = None) -> DataFrame:
+                buckets: int = BUCKETS) -> DataFrame:
     """Number rows ``after + 1 .. after + n``; ``by`` must be unique."""
     return assign_ranges(rows, by, name, after, F.lit(1), buckets)
 
 
 def fold_copies(rows: DataFrame) -> DataFrame:
-    """Distinct rows with the number of copies of each, combined on the map side."""
-    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    """Distinct rows with the number of copies of each, combined on the map side.
 
-
-def unfold_copies(folded: DataFrame, first: str, step: Column) -> DataFrame:
-    """Write every copy out again; copy ``i`` starts ``i * step`` after ``first``.
-
-    A row with very many copies is cut into pieces that go to different tasks.
+    Many copies of a row become several rows (``_piece``), which the numbering spreads over its buckets, so the copies of
+    one row are written out by many tasks.
     """
-    def spread(df: DataFrame) -> DataFrame:
-        copies = df.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1)))
-        return copies.withColumn(first, F.col(first) + F.col("_copy") * step).drop("_copy", "_copies")
-
+    folded = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_all"))
     limit = F.lit(COPIES_PER_TASK).cast("bigint")
-    few = folded.filter(F.col("_copies") <= limit)
-    many = folded.filter(F.col("_copies") > limit).withColumn(
-        "_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_copies") - 1) / limit))))
-    start = F.col("_piece") * limit
-    pieces = many.withColumns({
-        first: F.col(first) + start * step,
-        "_copies": F.least(limit, F.col("_copies") - start)}).drop("_piece")
-    parts = int(folded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return spread(few).unionByName(spread(pieces.repartition(parts, first)))
+    pieces = folded.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_all") - 1) / limit))))
+    return pieces.withColumn("_copies", F.least(limit, F.col("_all") - F.col("_piece") * limit)).drop("_all")
+
+
+def unfold_copies(folded: DataFrame, first: str, step: Column) -> DataFrame:
+    """Write every copy out again; copy ``i`` of a piece starts ``i * step`` after its ``first``."""
+    copies = folded.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1)))
+    return copies.withColumn(first, F.col(first) + F.col("_copy") * step).drop("_copy", "_copies", "_piece")

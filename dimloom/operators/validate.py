@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from dimloom.plans.registry import Rule
 
 # Fixed values.
-REASON_LENGTH = 500
 ERROR_CODES = {"NOT_NULL": "VAL_NOT_NULL", "DERIVED": "VAL_DERIVED_NULL", "CHECK": "VAL_CHECK_FAILED"}
 FAIL_CODES = {"NOT_NULL": -20030, "DERIVED": -20031, "CHECK": -20032}
 
@@ -23,7 +22,7 @@ class ValidationFailed(Exception):
 
     def __init__(self, rule: Rule, rows: int):
         self.rule, self.rows, self.code = rule, rows, FAIL_CODES[rule.rule_type]
-        super().__init__(f"{self.code}: FAIL rule triggered: {rule.rule_name} on {rows} row(s)")
+        super().__init__(f"{self.code}: {rows} row(s) break rule {rule.rule_name}, which stops the load")
 
 
 def broken(rule: Rule, null_fails: bool = False) -> Column:
@@ -45,7 +44,7 @@ def reason(rule: Rule) -> str:
         "DERIVED": f" [DERIVED:{rule.column_name} could not be derived]",
         "CHECK": f" [{rule.rule_name}: {rule.column_name} check failed]",
     }
-    return texts[rule.rule_type][:REASON_LENGTH]
+    return texts[rule.rule_type]
 
 
 def _first_broken(rules: list[Rule], null_fails: bool) -> Column:
@@ -105,13 +104,11 @@ def rejection_counts(validated: DataFrame) -> DataFrame:
 
 
 def message(rule: Rule, rows: int) -> str:
-    """Error log text of one rule."""
-    if rule.rule_type == "NOT_NULL":
-        return f"{rule.rule_name} — {rule.column_name} is NULL for {rows} staging row(s)."
-    if rule.rule_type == "DERIVED":
-        return f"{rule.rule_name} — {rule.column_name} could not be derived for {rows} row(s). Check DERIVED_SQL."
-    return (f"{rule.rule_name} — {rule.column_name} check condition failed for {rows} staging row(s). "
-            f"Condition: {rule.derived_sql[:200]}")
+    """Error log text of one rule: what it asks, in full, and how many staged rows do not meet it."""
+    asks = {"NOT_NULL": f"{rule.column_name} must have a value",
+            "DERIVED": f"{rule.column_name} must have a value or one from: {rule.derived_sql}",
+            "CHECK": f"{rule.column_name} must satisfy: {rule.derived_sql}"}
+    return f"rule {rule.rule_name} rejects {rows} row(s): {asks[rule.rule_type]}"
 
 
 def raise_on_fail_rules(rules: list[Rule], counts: dict[int, int]) -> None:

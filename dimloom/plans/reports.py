@@ -133,16 +133,21 @@ def errors_last_day(errors: DataFrame, as_of: dt.datetime) -> DataFrame:
     return errors.filter(F.col("error_time") >= _days_before(as_of, 1))
 
 
-def error_digest(errors: DataFrame, as_of: dt.datetime, rows: int = 10, length: int = 4000) -> DataFrame:
-    """Count and text of the newest errors of the day, oldest first."""
+def _cut(text: Column, length: int | None) -> Column:
+    return text if length is None else truncate(text, length)
+
+
+def error_digest(errors: DataFrame, as_of: dt.datetime, rows: int = 10, message_length: int | None = None,
+                 length: int | None = None) -> DataFrame:
+    """Count and text of the newest errors of the day, oldest first; texts are whole unless a length is given."""
     newest = (todays_errors(errors, as_of)
               .select("err_id", "error_time", "entity_name", "error_code", "error_message")
               .orderBy(F.col("error_time").desc(), F.col("err_id").desc()).limit(rows))
     line = F.concat(F.lit("["), F.date_format("error_time", "HH:mm:ss"), F.lit("] "), F.col("entity_name"),
-                    F.lit(" | "), F.col("error_code"), F.lit(" | "), truncate(F.col("error_message"), 200))
+                    F.lit(" | "), F.col("error_code"), F.lit(" | "), _cut(F.col("error_message"), message_length))
     lines = newest.select(F.struct("error_time", "err_id", line.alias("line")).alias("e"))
     ordered = F.transform(F.sort_array(F.collect_list("e")), lambda e: e["line"])
-    text = truncate(F.array_join(ordered, "\n"), length)
+    text = _cut(F.array_join(ordered, "\n"), length)
     return lines.agg(F.count(F.lit(1)).alias("error_count"), F.nullif(text, F.lit("")).alias("error_summary"))
 
 
@@ -166,9 +171,13 @@ def pre_check(runs: DataFrame, entity: DataFrame, sources: dict[str, DataFrame],
 
 def current_with_lineage(dimension: DataFrame, runs: DataFrame, current_column: str = "is_current",
                          flag: str | int = "Y") -> DataFrame:
-    """Current rows with start and status of the run that wrote them."""
-    lineage = runs.select(F.col("run_id").alias("etl_run_id"), F.col("start_time").alias("etl_run_start"),
-                          F.col("status").alias("etl_run_status"))
+    """Current rows with start and status of the run that wrote them.
+
+    The log has a row per run and mapping; the row of the run as a whole counts, or else that of its first mapping.
+    """
+    whole = F.min_by(F.struct("start_time", "status"), F.coalesce(F.col("mapping_id"), F.lit(0)))
+    lineage = runs.groupBy(F.col("run_id").alias("etl_run_id")).agg(whole.alias("run")).select(
+        "etl_run_id", F.col("run.start_time").alias("etl_run_start"), F.col("run.status").alias("etl_run_status"))
     return dimension.filter(F.col(current_column) == F.lit(flag)).join(lineage, "etl_run_id", "left")
 
 

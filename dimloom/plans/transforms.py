@@ -27,9 +27,9 @@ HASHED = {
 
 
 def _window(source: DataFrame, columns: list[str], key: str, after, up_to, tie_break: str,
-            *required: str, lookback_days: int = 0) -> DataFrame:
+            *required: str, lookback_days: int = 0, watermark: str = "reporting_date") -> DataFrame:
     """Needed columns of the rows in the window that have a key, filtered before anything is shuffled."""
-    rows = incremental_window(source, "reporting_date", after, up_to, lookback_days)
+    rows = incremental_window(source, watermark, after, up_to, lookback_days)
     for name in (key, *required):
         rows = rows.filter(F.col(name).isNotNull())
     rows = empty_to_null(rows.select(*columns, "reporting_date", tie_break))
@@ -37,45 +37,45 @@ def _window(source: DataFrame, columns: list[str], key: str, after, up_to, tie_b
 
 
 def _staged(rows: DataFrame, run_id: int, table: str, columns: list[str], hashed: list[str] | None) -> DataFrame:
-    payload = rows.select(*columns, "reporting_date")
+    payload = rows.select(*columns, F.to_date("reporting_date").alias("reporting_date"))
     return stage(payload, run_id, record_hash(payload, hashed or HASHED[table]))
 
 
 def staffing_schedule(source: DataFrame, run_id: int, after: dt.date | str, up_to: dt.date | str,
                       tie_break: str = "src_seq", hashed: list[str] | None = None,
-                      lookback_days: int = 0) -> DataFrame:
+                      lookback_days: int = 0, watermark: str = "reporting_date") -> DataFrame:
     """Latest row per schedule."""
     columns = ["schedule_id", *HASHED["stg_staffing_schedule"]]
-    rows = _window(source, columns, "schedule_id", after, up_to, tie_break, lookback_days=lookback_days)
+    rows = _window(source, columns, "schedule_id", after, up_to, tie_break, lookback_days=lookback_days, watermark=watermark)
     latest = latest_per_key(rows, ["schedule_id"], "reporting_date", tie_break)
     return _staged(latest, run_id, "stg_staffing_schedule", columns, hashed)
 
 
 def staffing_timeline(source: DataFrame, run_id: int, after: dt.date | str, up_to: dt.date | str,
                       tie_break: str = "src_seq", hashed: list[str] | None = None,
-                      lookback_days: int = 0) -> DataFrame:
+                      lookback_days: int = 0, watermark: str = "reporting_date") -> DataFrame:
     """Latest row per schedule and month; a row without a month is kept for the validator."""
     columns = ["schedule_id", *HASHED["stg_staffing_timeline"]]
-    rows = _window(source, columns, "schedule_id", after, up_to, tie_break, lookback_days=lookback_days)
+    rows = _window(source, columns, "schedule_id", after, up_to, tie_break, lookback_days=lookback_days, watermark=watermark)
     latest = latest_per_key(rows, ["schedule_id"], "reporting_date", tie_break, "period_start_date")
     dated = latest.withColumn("dt_period", period_key(F.col("period_start_date")))
     return _staged(dated, run_id, "stg_staffing_timeline", ["schedule_id", "dt_period", *columns[1:]], hashed)
 
 
 def cost(source: DataFrame, run_id: int, after: dt.date | str, up_to: dt.date | str,
-         tie_break: str = "src_seq", hashed: list[str] | None = None, lookback_days: int = 0) -> DataFrame:
+         tie_break: str = "src_seq", hashed: list[str] | None = None, lookback_days: int = 0, watermark: str = "reporting_date") -> DataFrame:
     """Latest row per cost record."""
     columns = ["cost_id", *HASHED["stg_cost"]]
-    rows = _window(source, columns, "cost_id", after, up_to, tie_break, lookback_days=lookback_days)
+    rows = _window(source, columns, "cost_id", after, up_to, tie_break, lookback_days=lookback_days, watermark=watermark)
     latest = latest_per_key(rows, ["cost_id"], "reporting_date", tie_break)
     return _staged(latest, run_id, "stg_cost", columns, hashed)
 
 
 def cost_timeline(source: DataFrame, run_id: int, after: dt.date | str, up_to: dt.date | str,
-                  tie_break: str = "src_seq", hashed: list[str] | None = None, lookback_days: int = 0) -> DataFrame:
+                  tie_break: str = "src_seq", hashed: list[str] | None = None, lookback_days: int = 0, watermark: str = "reporting_date") -> DataFrame:
     """Latest row per cost record and month, with the derived curve; rows without a month are left out."""
     columns = ["cost_id", "period_date", "amount", "curve_type", "forecast_type"]
-    rows = _window(source, columns, "cost_id", after, up_to, tie_break, "period_date", lookback_days=lookback_days)
+    rows = _window(source, columns, "cost_id", after, up_to, tie_break, "period_date", lookback_days=lookback_days, watermark=watermark)
     latest = latest_per_key(rows, ["cost_id"], "reporting_date", tie_break, "period_date")
     derived: dict[str, Column] = {
         "dt_period": period_key(F.col("period_date")),

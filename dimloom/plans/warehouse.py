@@ -21,15 +21,15 @@ TYPES = {
     "effective_end_date": "date", "reporting_date": "date", "etl_load_date": "date",
     "etl_run_id": "bigint", "stg_run_id": "bigint", "stg_rule_id": "bigint",
 }
-MESSAGE_LENGTH = 4000
 
-CONTROL = "entity_name string, run_id bigint, last_watermark date, last_run_date date, last_keys map<string,bigint>"
+CONTROL = ("entity_id bigint, entity_name string, run_id bigint, last_watermark timestamp_ntz, last_run_date date, "
+           "last_keys map<string,bigint>")
 RUN_LOG = ("run_id bigint, entity_id bigint, mapping_id bigint, start_time timestamp_ntz, end_time timestamp_ntz, "
            "status string, rows_read bigint, rows_inserted bigint, rows_updated bigint, rows_expired bigint, "
            "rows_skipped bigint, rows_rejected bigint, error_message string, entry int")
 STEP_LOG = ("step_id bigint, run_id bigint, step_name string, start_time timestamp_ntz, end_time timestamp_ntz, "
             "status string, rows_affected bigint, step_message string")
-ERROR_LOG = ("run_id bigint, entity_name string, target_table string, error_code string, error_message string, "
+ERROR_LOG = ("err_id bigint, run_id bigint, entity_name string, target_table string, error_code string, error_message string, "
              "error_time timestamp_ntz, record_key string, record_data string")
 
 
@@ -64,6 +64,15 @@ class Warehouse:
         row = self.control_log().filter(F.col("entity_name") == entity_name).orderBy(F.col("run_id").desc()).first()
         return row.asDict() if row else None
 
+    def control_table(self) -> DataFrame:
+        """One row per entity that ever ran: state after its newest committed run, status of its newest run."""
+        state = latest_per_key(self.control_log(), ["entity_id"], "run_id", "last_run_date").select(
+            "entity_id", "last_watermark", "last_run_date")
+        runs = self.run_log().filter("mapping_id IS NULL AND entity_id IS NOT NULL")
+        newest = latest_per_key(runs, ["entity_id"], "run_id", "status").select(
+            "entity_id", "status", F.col("run_id").alias("last_run_id"))
+        return newest.join(state, "entity_id", "left")
+
     def committed(self) -> set[int]:
         """Run ids whose output counts: one per finished load."""
         return {r.run_id for r in self.control_log().select("run_id").distinct().toLocalIterator()}
@@ -93,12 +102,13 @@ class Warehouse:
         return last + 1
 
     def log_run(self, **row) -> None:
-        if row.get("error_message"):
-            row["error_message"] = row["error_message"][:MESSAGE_LENGTH]
         self._append("run_log", RUN_LOG, [row])
 
     def log_errors(self, rows: list[dict]) -> None:
-        self._append("error_log", ERROR_LOG, [r | {"error_message": r["error_message"][:MESSAGE_LENGTH]} for r in rows])
+        """Append errors of one run, numbered within it."""
+        if rows:
+            known = self.error_log().filter(F.col("run_id") == rows[0]["run_id"]).count()
+            self._append("error_log", ERROR_LOG, [r | {"err_id": r["run_id"] * 100_000 + known + i} for i, r in enumerate(rows, 1)])
 
     # ---- data tables
     def staging(self, mapping: Mapping, payload: list[str]) -> BatchTable:

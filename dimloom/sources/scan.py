@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimloom.functions.dates import FIRST_WATERMARK, as_date, within_day
+from dimloom.functions.dates import FIRST_WATERMARK, as_bound, as_moment, within_day
 
 
 def read_source(spark: SparkSession, location: str, columns: list[str] | None = None,
@@ -19,14 +19,18 @@ def read_source(spark: SparkSession, location: str, columns: list[str] | None =
 
 def incremental_window(df: DataFrame, column: str, after: dt.date | str, up_to: dt.date | str,
                        lookback_days: int = 0) -> DataFrame:
-    """Rows with ``after < column <= up_to``; look-back re-reads late rows."""
-    low = as_date(after) - dt.timedelta(days=lookback_days)
-    return df.filter((F.col(column) > F.lit(low)) & (F.col(column) <= F.lit(as_date(up_to))))
+    """Rows with ``after < column <= up_to``; look-back re-reads late rows.  Bounds may be dates or moments."""
+    low, high = as_bound(as_moment(after) - dt.timedelta(days=lookback_days)), as_bound(up_to)
+    return df.filter((F.col(column) > F.lit(low)) & (F.col(column) <= F.lit(high)))
 
 
-def max_watermark(df: DataFrame, column: str) -> DataFrame:
-    """One row: the greatest watermark value of the source, NULL when it is empty."""
-    return df.agg(F.max(column).alias("max_watermark"))
+def max_watermark(df: DataFrame, column: str, after: dt.date | str | None = None) -> DataFrame:
+    """One row: the greatest watermark value of the source, NULL when there is none.
+
+    With ``after``, of newer rows alone, so a scan can skip what earlier runs have seen.
+    """
+    rows = df if after is None else df.filter(F.col(column) > F.lit(as_bound(after)))
+    return rows.agg(F.max(column).alias("max_watermark"))
 
 
 def lower_watermark(last: Column) -> Column:
@@ -41,7 +45,7 @@ def advanced_watermark(last: Column, source_max: Column) -> Column:
 
 
 def has_news(low: dt.date, high: dt.date | None) -> bool:
-    return high is not None and as_date(high) > as_date(low)
+    return high is not None and as_moment(high) > as_moment(low)
 
 
 def scope_filter(df: DataFrame, portfolio: str, day: dt.date | str,

@@ -20,7 +20,7 @@ def shared_folder(df: DataFrame) -> str:
     if named:
         return named
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local[") and context.master != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _LOCAL:
         _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="dimloom-")

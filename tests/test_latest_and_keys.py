@@ -65,8 +65,18 @@ def test_copies_are_split_and_all_written(spark, monkeypatch):
     monkeypatch.setattr(keys, "COPIES_PER_TASK", 10)
     rows = spark.createDataFrame([("hot", 1)] * 95 + [("cold", 2)] * 3 + [("one", 3)], "a string, b int")
     folded = keys.fold_copies(rows)
-    ranged = keys.assign_ranges(folded, ["a", "b"], "key", 100, F.col("_copies") * 2)
+    ranged = keys.assign_ranges(folded, ["a", "b", "_piece"], "key", 100, F.col("_copies") * 2)
     out = keys.unfold_copies(ranged, "key", F.lit(2).cast("bigint")).collect()
     assert len(out) == 99 and sum(r.a == "hot" for r in out) == 95
     owned = [n for r in out for n in (r.key, r.key + 1)]
     assert sorted(owned) == list(range(101, 101 + 2 * 99))
+
+
+def test_keys_do_not_follow_session_settings(spark):
+    rows, before = spark.range(50).withColumnRenamed("id", "n"), spark.conf.get("spark.sql.shuffle.partitions")
+    found = []
+    for parts in ("3", "7"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        found.append({r.n: r.key for r in keys.assign_keys(rows, ["n"], "key", 0).collect()})
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] and sorted(found[0].values()) == list(range(1, 51))

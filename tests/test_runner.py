@@ -75,7 +75,7 @@ def test_two_runs_and_a_run_without_news(spark, warehouse):
         ("s1", "202401", 20), ("s1", "202402", 30), ("s2", "202401", 11), ("s4", "202402", 5)]
     assert sorted(r.dim_st_id for r in months) == [1, 2, 3, 4]
     third = run(warehouse, staffing(spark, *FIRST, *LATER), D(2024, 3, 2))
-    assert third.message.startswith("No new data") and third.counts == {}
+    assert third.message.endswith("holds nothing newer than 2024-02-07") and third.counts == {}
     assert dimension(warehouse, "dim_staffing_schedule").count() == 4
     log = {(r.run_id, r.mapping_id): r.status for r in warehouse.run_log().collect()}
     assert set(log.values()) == {"SUCCESS"} and len(log) == 7
@@ -204,3 +204,42 @@ def test_schema_contract_of_the_tables(spark, warehouse):
     actual = reports.columns_of({"dim_staffing_schedule": dimension(warehouse, "dim_staffing_schedule")})
     found = {r.column_name: r.result for r in reports.schema_contract(expected, actual).collect()}
     assert found == {"record_hash": "FOUND", "is_current": "FOUND", "source_code": "MISSING"}
+
+
+def timed(spark, *rows):
+    """The same feed with moments as its watermark, in a column of another name."""
+    days = staffing(spark, *[(*r[:5], r[5].date()) for r in rows])
+    moments = spark.createDataFrame([(n, r[5]) for n, r in enumerate(rows)], "src_seq bigint, changed_at timestamp_ntz")
+    return days.join(moments, "src_seq")
+
+
+def test_moments_as_watermarks_in_another_column(spark, warehouse):
+    base = default_registry()
+    registry = dataclasses.replace(base, entities=tuple(dataclasses.replace(e, watermark_column="changed_at") for e in base.entities))
+    at = lambda day, hour: dt.datetime(2024, 1, day, hour)
+    early = [("s1", "e1", "p", D(2024, 1, 1), 10, at(10, 8)), ("s1", "e2", "p", D(2024, 1, 1), 20, at(10, 10))]
+    first = run(warehouse, timed(spark, *early), D(2024, 2, 1), registry)
+    assert first.watermark == at(10, 10)
+    assert [r.employee_id for r in dimension(warehouse, "dim_staffing_schedule").collect()] == ["e2"]
+    assert run(warehouse, timed(spark, *early), D(2024, 2, 2), registry).counts == {}
+    late = ("s1", "e3", "p", D(2024, 1, 1), 30, at(10, 17))
+    assert run(warehouse, timed(spark, *early, late), D(2024, 2, 3), registry).counts["dim_staffing_schedule"]["rows_updated"] == 1
+    other = dataclasses.replace(base, entities=tuple(dataclasses.replace(e, watermark_column="src_seq") for e in base.entities))
+    with pytest.raises(runner.RegistryError):
+        run(warehouse, timed(spark, *early), D(2024, 2, 4), other)
+
+
+def test_reports_read_the_tables_that_loads_write(spark, warehouse):
+    run(warehouse, staffing(spark, *FIRST), D(2024, 2, 1))
+    frames = registry_frames(spark, default_registry())
+    control = warehouse.control_table()
+    status = {r.entity_name: r for r in reports.entity_status(frames["entity"], control).collect()}
+    assert status["STAFFING_SCHEDULE"].status == "SUCCESS" and status["STAFFING_SCHEDULE"].last_run_id == 1
+    assert reports.active_entities(frames["entity"], frames["mapping"], control).count() == 2
+    assert reports.stale_watermarks(frames["entity"], control, dt.datetime(2024, 3, 1)).first().watermark_age_days == 41
+    errors = warehouse.error_log()
+    assert errors.select("err_id").distinct().count() == errors.count() > 0
+    assert reports.error_digest(errors, NOW).first().error_count == errors.count()
+    current = dimension(warehouse, "dim_staffing_schedule")
+    lineage = reports.current_with_lineage(current, warehouse.run_log()).collect()
+    assert len(lineage) == current.count() == 2 and {r.etl_run_status for r in lineage} == {"SUCCESS"}

@@ -38,7 +38,7 @@ def valid(warehouse, name):
 
 
 def staffing(warehouse, source, hour, center=None, mode="REPLACE_ALL", portfolio="P1"):
-    return scope_runner.load_staffing(warehouse, source, portfolio, DAY, center, mode, "me", dt.datetime(2024, 2, 1, hour))
+    return scope_runner.load_staffing(warehouse, source, portfolio, DAY, center, dt.datetime(2024, 2, 1, hour), mode, "me")
 
 
 AU, UK = ("AU-01", "V", "au", "Company"), ("UK-02", "V", "uk", "CLIENT")
@@ -86,8 +86,8 @@ def test_other_scopes_are_not_touched(spark, warehouse):
 
 def test_cost_reload(spark, warehouse):
     source = feed(spark, AU, UK, ("UK-02", "V", "x", "OTHER"), UK)
-    scope_runner.load_cost(warehouse, source, "P1", DAY, "me", dt.datetime(2024, 2, 1, 1))
-    again = scope_runner.load_cost(warehouse, source, "P1", DAY, "me", dt.datetime(2024, 2, 1, 2))
+    scope_runner.load_cost(warehouse, source, "P1", DAY, dt.datetime(2024, 2, 1, 1), "me")
+    again = scope_runner.load_cost(warehouse, source, "P1", DAY, dt.datetime(2024, 2, 1, 2), "me")
     assert again.counts["valid_cost"] == {"rows_inserted": 17, "rows_expired": 17}
     out = rows(warehouse, "valid_cost")
     assert out.filter("is_valid = 1").count() == 17 and out.count() == 34
@@ -105,3 +105,20 @@ def test_failed_load_publishes_nothing(spark, warehouse):
     assert scope_runner.reference_table(warehouse).read(warehouse.committed()).count() == 1
     with pytest.raises(ValueError):
         staffing(warehouse, feed(spark, UK), 3, mode="OTHER")
+
+
+@pytest.mark.parametrize("portfolio", ["P:1", "P/1", "P%1", "P#1", "P 1", "P=1", "P{1}*?"])
+def test_portfolios_with_signs_in_their_names(spark, warehouse, portfolio):
+    """A reload reads the rows it does not replace, whatever their directory is called."""
+    source = lambda *r: feed(spark, *r, portfolio=portfolio)
+    staffing(warehouse, source(AU, UK), 1, portfolio=portfolio)
+    staffing(warehouse, source(("AU-01", "V", "au2", "Company"), UK), 2, center="AU-01", portfolio=portfolio)
+    assert valid(warehouse, "valid_staffing_schedule") == ["au2", "uk"]
+    assert rows(warehouse, "valid_staffing_schedule").count() == 3
+
+
+def test_scope_loads_show_in_the_run_report(spark, warehouse):
+    staffing(warehouse, feed(spark, AU), 1)
+    mapping = spark.createDataFrame([], "mapping_id bigint, target_table string")
+    found = reports.run_summary(warehouse.run_log(), scope_runner.scope_entities(spark), mapping, dt.datetime(2024, 2, 2)).collect()
+    assert [(r.entity_name, r.status) for r in found] == [("STAFFING_SCOPE", "SUCCESS")]

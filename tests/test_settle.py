@@ -29,3 +29,5 @@ def test_a_cluster_must_name_the_folder():
     assert settle.shared_folder(_Frame("local[2]")) == settle.shared_folder(_Frame("local[2]"))
     with pytest.raises(RuntimeError):
         settle.shared_folder(_Frame("spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        settle.shared_folder(_Frame("local-cluster[2,1,1024]"))

@@ -75,8 +75,10 @@ def test_custom_rules_are_refused():
 
 
 def test_messages():
-    assert validate.message(NOT_NULL_A, 3) == "A_REQUIRED — A is NULL for 3 staging row(s)."
-    assert validate.message(CHECK_N, 1).endswith("Condition: n > 0")
+    assert validate.message(NOT_NULL_A, 3) == "rule A_REQUIRED rejects 3 row(s): A must have a value"
+    assert validate.message(CHECK_N, 1).endswith("must satisfy: n > 0")
+    long = Rule(1, 1, "X" * 900, "CHECK", "N", "n <> 1 AND " * 500 + "n > 0")
+    assert long.derived_sql in validate.message(long, 1) and long.rule_name in validate.reason(long)
 
 
 def test_filters_over_many_rules_keep_the_plan_small(spark):

@@ -56,6 +56,9 @@ CURVE = """CASE WHEN upper(forecast_type) IN ('ACTUALS', 'ACTUAL') THEN 'ACTUAL'
  WHEN upper(forecast_type) IN ('FC', 'FORECAST') THEN 'FORECAST' WHEN curve_type IS NOT NULL THEN upper(curve_type) END"""
 
 
+HASHED["run_cost_timeline"] = ["#period_date", "$amount", CURVE, "forecast_type"]
+
+
 def _staged(kind: str, run: int, low: str, high: str) -> str:
     if kind == "schedule":
         return _latest("staffing_src", f"{_tags(run, kind)}, {SCHEDULE_COLUMNS}, reporting_date", low, high, "schedule_id")
@@ -166,6 +169,57 @@ def _merge_ctes(kind: str, columns: str, rules: bool = True) -> dict[str, str]:
     return ctes
 
 
+def _stamped(sql: str, source: str) -> str:
+    """Rows of a run carry the newest date that the run had seen."""
+    for day in ("1999-06-30", "2001-12-31"):
+        newest = f"(SELECT max(reporting_date) FROM {source} WHERE reporting_date <= DATE '{day}')"
+        sql = sql.replace(f"DATE '{day}' AS reporting_date", f"{newest} AS reporting_date")
+        sql = sql.replace(f"THEN DATE '{day}' ELSE t.reporting_date", f"THEN {newest} ELSE t.reporting_date")
+    return sql
+
+
+def _runs() -> dict[str, str]:
+    """Two whole loads of each entity."""
+    late = ("1999-06-30", "2001-12-31")
+    bodies, found = {}, {}
+    for name, kind, key, columns, source in (
+            ("dim_staffing_schedule", "schedule", "schedule_id", SCHEDULE_COLUMNS, "staffing_src"),
+            ("dim_cost", "cost", "cost_id", COST_COLUMNS, "cost_src")):
+        ctes = {
+            "raw_before": _staged(kind, 1, *BEFORE), "checked_before": _checked(kind, "raw_before"),
+            "state": f"""SELECT {columns}, DATE '1999-06-30' AS effective_start_date, DATE '9999-12-31' AS effective_end_date,
+              'Y' AS is_current, stg_record_hash AS record_hash, DATE '1999-06-30' AS reporting_date,
+              CAST(1 AS BIGINT) AS etl_run_id, DATE '1999-06-30' AS etl_load_date FROM checked_before WHERE stg_status = 'PENDING'""",
+            "raw_after": _staged(kind, 2, *late),
+            "staged": f"SELECT * FROM ({_checked(kind, 'raw_after')}) WHERE stg_status = 'PENDING'",
+            "acted": _actions("staged", "state", key)}
+        body = f"{_expired('state', key, columns)} UNION ALL BY NAME {_inserted(columns)}"
+        bodies[name] = _stamped(_with(body, **ctes), source)
+        if kind == "schedule":
+            found["run_lineage"] = _with(f"""SELECT schedule_id, etl_run_id, 'SUCCESS' AS etl_run_status FROM ({body})
+              WHERE is_current = 'Y'""", **ctes)
+    for name, kind, keys, columns, source in (
+            ("dim_staffing_timeline", "timeline", ["schedule_id", "dt_period"], TIMELINE_COLUMNS, "staffing_src"),
+            ("dim_timeline_cost", "cost_timeline", ["cost_id", "dt_period"], COST_TIMELINE_COLUMNS, "cost_src")):
+        ctes = {
+            "raw_before": _staged(kind, 1, *BEFORE), "checked_before": _checked(kind, "raw_before"),
+            "state": f"""SELECT {columns}, stg_record_hash AS record_hash, DATE '1999-06-30' AS reporting_date,
+              CAST(1 AS BIGINT) AS etl_run_id, DATE '1999-06-30' AS etl_load_date FROM checked_before WHERE stg_status = 'PENDING'""",
+            "raw_after": _staged(kind, 2, *late), "staged": _checked(kind, "raw_after")}
+        # A run hashes all tracked columns, the curve included.
+        ctes = {n: t.replace(_hash("cost_timeline"), _hash("run_cost_timeline")) for n, t in ctes.items()}
+        bodies[name] = _stamped(_with(_merged(columns, keys), **ctes), source)
+    for name, key in (("run_staffing_schedule", "dim_staffing_schedule"), ("run_staffing_timeline", "dim_staffing_timeline"),
+                      ("run_cost", "dim_cost"), ("run_cost_timeline", "dim_timeline_cost")):
+        found[name] = bodies[key]
+    found["run_entity_keys"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS dimension, CAST(1 AS BIGINT) AS lowest, count(*) AS highest, count(*) AS rows, count(*) AS distinct_keys "
+        f"FROM ({body})" for name, body in bodies.items())
+    found["run_control"] = _with("""SELECT 'COST' AS entity_name, 'SUCCESS' AS status, max(reporting_date) AS last_watermark,
+      CAST(2 AS BIGINT) AS last_run_id FROM cost_src WHERE reporting_date <= DATE '2001-12-31'""")
+    return found
+
+
 # ---------------------------------------------------------------- coded feed
 CODES = [("project_id", "project_id"), ("business_unit", "business_unit_id"),
          ("substr(execution_center, 1, 2)", "operating_center_id"), ("substr(bill_type, 1, 2)", "bill_type_id"),
@@ -207,7 +261,7 @@ def _schedule_rows(source: str, portfolio: str, day: str, moment: str, user: str
 
 
 def _months(source: str, columns: str) -> str:
-    """Month numbers 0..359 against every row, then the ones inside its range."""
+    """One row per month number of each row's own range."""
     return f"""SELECT {columns}, dt_period,
       CASE WHEN dt_period BETWEEN date_trunc('month', plan_start_date) AND date_trunc('month', plan_end_date)
            THEN hours_per_week END AS plan_hours,
@@ -216,7 +270,7 @@ def _months(source: str, columns: str) -> str:
       FROM (SELECT *, CAST(first + to_months(CAST(n AS INTEGER)) AS DATE) AS dt_period FROM (
         SELECT *, CAST(date_trunc('month', least(plan_start_date, forecast_start_date)) AS DATE) AS first,
           CAST(date_trunc('month', greatest(plan_end_date, forecast_end_date)) AS DATE) AS last FROM {source}) b
-        JOIN range(0, 360) nums(n) ON n <= date_diff('month', first, last))"""
+        , unnest(range(0, coalesce(date_diff('month', first, last), -1) + 1)) AS nums(n))"""
 
 
 def _timeline_rows(source: str, portfolio: str, day: str, moment: str, user: str) -> str:
@@ -377,7 +431,10 @@ def oracle_sql() -> dict[str, str]:
 
     o["staging_summary"] = _with(" UNION ALL ".join([
         counted("stg_staffing_schedule", "acted", "todo"), counted("stg_staffing_timeline", "checked_timeline", "'MERGE'"),
-        counted("stg_timeline_cost", "checked_cost_timeline", "'MERGE'")]), **summary)
+        counted("stg_cost", "acted_cost", "todo"), counted("stg_timeline_cost", "checked_cost_timeline", "'MERGE'")]),
+        **summary, before_cost=_staged("cost", 1, *BEFORE),
+        cost_state="SELECT cost_id, stg_record_hash AS record_hash, 'Y' AS is_current FROM before_cost",
+        acted_cost=_actions("checked_cost", "cost_state", "cost_id"))
     o["run_metrics"] = _with("""SELECT stg_run_id AS run_id, count(*) AS rows_read,
       count(*) FILTER (stg_status = 'PENDING' AND todo = 'INSERT') AS rows_inserted,
       count(*) FILTER (stg_status = 'PENDING' AND todo = 'UPDATE') AS rows_updated,
@@ -417,6 +474,16 @@ def oracle_sql() -> dict[str, str]:
         "acted": _actions("staged", "state", "cost_id")}
     o["cost_entity_load"] = _with(
         f"{_expired('state', 'cost_id', COST_COLUMNS)} UNION ALL BY NAME {_inserted(COST_COLUMNS)}", **loads)
+    cost_after = f"{_expired('state', 'cost_id', COST_COLUMNS)} UNION ALL BY NAME {_inserted(COST_COLUMNS)}"
+    o["cost_version_history"] = _with(f"""SELECT {COST_COLUMNS}, effective_start_date, effective_end_date, is_current,
+      reporting_date, etl_run_id FROM ({cost_after}) ORDER BY cost_id, effective_start_date""", **loads)
+    o["cost_current_with_lineage"] = _with(f"""SELECT s.* REPLACE (r.run_id AS etl_run_id), r.start_time AS etl_run_start,
+      r.status AS etl_run_status FROM ({cost_after}) s,
+      (SELECT * FROM run_log_src WHERE run_id = (SELECT max(run_id) FROM run_log_src)) r WHERE is_current = 'Y'""", **loads)
+    o["duplicate_report"] = _with("""SELECT 'dim_staffing_schedule' AS dimension, schedule_id AS record_key,
+      count(*) AS duplicate_count FROM staffing_src WHERE schedule_status = 'Open' GROUP BY schedule_id HAVING count(*) > 1
+      UNION ALL SELECT 'dim_cost', cost_id, count(*) FROM cost_src WHERE currency = 'USD' GROUP BY cost_id HAVING count(*) > 1""")
+    o |= _runs()
     whole = dict(SCD, raw_after=SCD["staged"],
                  staged=f"SELECT * FROM ({_checked('schedule', 'raw_after')}) WHERE stg_status = 'PENDING'")
     whole = {k: whole[k] for k in ("staged_before", "state", "raw_after", "staged", "acted")}
@@ -526,8 +593,8 @@ def oracle_sql() -> dict[str, str]:
       date_diff('second', start_time, end_time) AS elapsed_secs, step_message FROM step_log_src""")
     o["todays_errors"] = _with("SELECT * FROM error_log_src WHERE CAST(error_time AS DATE) = DATE '2024-01-30'")
     o["errors_last_day"] = _with("SELECT * FROM error_log_src WHERE error_time >= TIMESTAMP '2024-01-29 12:00:00'")
-    o["error_digest"] = _with("""SELECT count(*) AS error_count, substr(string_agg('[' || strftime(error_time, '%H:%M:%S')
-      || '] ' || entity_name || ' | ' || error_code || ' | ' || substr(error_message, 1, 200), chr(10)
-      ORDER BY error_time, err_id), 1, 4000) AS error_summary FROM (SELECT * FROM error_log_src
+    o["error_digest"] = _with("""SELECT count(*) AS error_count, string_agg('[' || strftime(error_time, '%H:%M:%S')
+      || '] ' || entity_name || ' | ' || error_code || ' | ' || error_message, chr(10)
+      ORDER BY error_time, err_id) AS error_summary FROM (SELECT * FROM error_log_src
       WHERE CAST(error_time AS DATE) = DATE '2024-01-30' ORDER BY error_time DESC, err_id DESC LIMIT 10)""")
     return o

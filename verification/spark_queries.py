@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,8 +17,10 @@ from dimloom.operators.latest import latest_per_key
 from dimloom.operators.project import mapped_projection
 from dimloom.plans import reports, scoped, transforms
 from dimloom.plans.registry import Rule, default_registry, registry_frames
+from dimloom.plans.runner import run_entity
+from dimloom.plans.warehouse import Warehouse
 from dimloom.sources import scan
-from dimloom.sources.settle import settle
+from dimloom.sources.settle import settle, shared_folder
 from verification.fixtures import fixture
 
 FIRST, BEFORE_END = "1900-01-01", "1999-06-30"
@@ -241,15 +244,22 @@ def purge_pending(spark, sf):
 
 @register
 def staging_summary(spark, sf):
-    """Schedules are classified against the earlier state; timelines are merged."""
+    """Schedules and costs are classified against the earlier state; timelines are merged."""
     schedule = staging.mark_loaded(history.classify(_validated(spark, sf, "stg_staffing_schedule"),
                                                     _schedules(spark, sf), SCHEDULE))
     return staging.staging_summary({
         "stg_staffing_schedule": schedule,
         "stg_staffing_timeline": staging.mark_loaded(_validated(spark, sf, "stg_staffing_timeline"), "MERGE"),
+        "stg_cost": staging.mark_loaded(history.classify(_validated(spark, sf, "stg_cost"), _costs(spark, sf), COST)),
         "stg_timeline_cost": staging.mark_loaded(_validated(spark, sf, "stg_timeline_cost"), "MERGE")})
 
 
+def _costs(spark, sf) -> DataFrame:
+    """Current cost rows before the load."""
+    staged = transforms.cost(fixture(spark, sf, "cost_src"), 1, FIRST, BEFORE_END)
+    return staged.select(*COST.payload, F.lit("Y").alias("is_current"), F.col("stg_record_hash").alias("record_hash"))
+
+
 @register
 def run_metrics(spark, sf):
     """Counts of one run record, from its classified staging rows."""
@@ -319,6 +329,19 @@ def scd2_apply(spark, sf):
     return _after_load(spark, sf).drop("dim_ss_id")
 
 
+@register
+def cost_version_history(spark, sf):
+    return history.version_history(_cost_load(spark, sf), COST).drop("dim_cost_id")
+
+
+@register
+def cost_current_with_lineage(spark, sf):
+    """All rows of a load carry the id of one run, the newest in the log."""
+    newest = fixture(spark, sf, "run_log_src").agg(F.max("run_id")).scalar()
+    loaded = _cost_load(spark, sf).withColumn("etl_run_id", newest)
+    return reports.current_with_lineage(loaded, fixture(spark, sf, "run_log_src")).drop("dim_cost_id")
+
+
 @register
 def version_history(spark, sf):
     return history.version_history(_after_load(spark, sf), SCHEDULE).drop("dim_ss_id")
@@ -332,6 +355,15 @@ def duplicate_current(spark, sf):
     return history.duplicate_current(feed, SCHEDULE)
 
 
+@register
+def duplicate_report(spark, sf):
+    """Both master dimensions at once, on the raw feeds taken as dimensions."""
+    schedules = fixture(spark, sf, "staffing_src").withColumn(
+        "is_current", F.when(F.col("schedule_status") == "Open", "Y").otherwise("N"))
+    costs = fixture(spark, sf, "cost_src").withColumn("is_current", F.when(F.col("currency") == "USD", "Y").otherwise("N"))
+    return history.duplicate_report({"dim_staffing_schedule": (schedules, SCHEDULE), "dim_cost": (costs, COST)})
+
+
 @register
 def surrogate_keys(spark, sf):
     fresh = settle(history.new_keys(_incoming(spark, sf), _schedules(spark, sf), SCHEDULE).select("schedule_id"), "new")
@@ -408,6 +440,80 @@ def current_with_lineage(spark, sf):
     return reports.current_with_lineage(written, fixture(spark, sf, "run_log_src")).drop("dim_ss_id")
 
 
+# ---------------------------------------------------------------- whole loads
+
+ENTITY_TABLES = {"STAFFING_SCHEDULE": ("staffing_src", ("dim_staffing_schedule", "dim_staffing_timeline")),
+                 "COST": ("cost_src", ("dim_cost", "dim_timeline_cost"))}
+
+
+def _loaded(spark, sf, entity: str) -> Warehouse:
+    """Two runs of the loader into a fresh warehouse: the feed as it stood at the first day, then all of it."""
+    source = fixture(spark, sf, ENTITY_TABLES[entity][0])
+    warehouse = Warehouse(spark, f"{shared_folder(source)}/warehouse-{uuid.uuid4().hex}")
+    for last, as_of, now in ((FIRST_DAY, FIRST_DAY, THEN), (LOAD_DAY, LOAD_DAY, NOW)):
+        run_entity(warehouse, REGISTRY, entity, source.filter(F.col("reporting_date") <= F.lit(last)), as_of, now)
+    return warehouse
+
+
+def _dimension(warehouse: Warehouse, name: str) -> tuple[DataFrame, history.Target]:
+    target = history.Target.of(REGISTRY, REGISTRY.mapping(name))
+    return warehouse.dimension(REGISTRY.mapping(name), target.payload).read(warehouse.committed()), target
+
+
+def _loaded_dimension(spark, sf, entity: str, name: str) -> DataFrame:
+    rows, target = _dimension(_loaded(spark, sf, entity), name)
+    return rows.drop(target.key)
+
+
+@register
+def run_staffing_schedule(spark, sf):
+    return _loaded_dimension(spark, sf, "STAFFING_SCHEDULE", "dim_staffing_schedule")
+
+
+@register
+def run_staffing_timeline(spark, sf):
+    return _loaded_dimension(spark, sf, "STAFFING_SCHEDULE", "dim_staffing_timeline")
+
+
+@register
+def run_cost(spark, sf):
+    return _loaded_dimension(spark, sf, "COST", "dim_cost")
+
+
+@register
+def run_cost_timeline(spark, sf):
+    return _loaded_dimension(spark, sf, "COST", "dim_timeline_cost")
+
+
+@register
+def run_entity_keys(spark, sf):
+    """Surrogate keys of all four dimensions after both runs."""
+    found = []
+    for entity, (_, names) in ENTITY_TABLES.items():
+        warehouse = _loaded(spark, sf, entity)
+        for name in names:
+            rows, target = _dimension(warehouse, name)
+            found.append(rows.agg(F.min(target.key).alias("lowest"), F.max(target.key).alias("highest"), F.count(target.key).alias("rows"),
+                                  F.count_distinct(target.key).alias("distinct_keys")).withColumn("dimension", F.lit(name)))
+    return staging.union_all(found)
+
+
+@register
+def run_lineage(spark, sf):
+    """Current schedules with the run that wrote them, from the loader's own log."""
+    warehouse = _loaded(spark, sf, "STAFFING_SCHEDULE")
+    rows, _ = _dimension(warehouse, "dim_staffing_schedule")
+    return reports.current_with_lineage(rows, warehouse.run_log()).select("schedule_id", "etl_run_id", "etl_run_status")
+
+
+@register
+def run_control(spark, sf):
+    """Status and watermark of the entity, from the loader's own tables."""
+    warehouse = _loaded(spark, sf, "COST")
+    return reports.entity_status(_registry(spark)[0], warehouse.control_table()).select(
+        "entity_name", "status", F.to_date("last_watermark").alias("last_watermark"), "last_run_id")
+
+
 # ---------------------------------------------------------------- coding reference
 
 def _reference(spark, sf) -> DataFrame:

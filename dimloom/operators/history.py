@@ -68,7 +68,7 @@ def current_rows(dimension: DataFrame, target: Target) -> DataFrame:
     return dimension.filter(F.col(target.current) == F.lit(target.yes))
 
 
-def _only_staged(rows: DataFrame, staged: DataFrame, target: Target) -> DataFrame:
+def only_staged(rows: DataFrame, staged: DataFrame, target: Target) -> DataFrame:
     """Rows whose key is staged.
 
     The staged keys stand on the side Spark may broadcast, so a load that is small against
@@ -85,7 +85,7 @@ def classify(staged: DataFrame, dimension: DataFrame, target: Target, written: b
     """
     current = current_rows(dimension, target)
     if written:
-        current = _only_staged(current, staged, target)
+        current = only_staged(current, staged, target)
     known = _keys_as(current, target, F.col(target.hash).alias("_hash"), F.lit(True).alias("_known"))
     joined = staged.join(known, _on(target, staged), "left")
     action = (
@@ -172,7 +172,7 @@ def merge_by_key(dimension: DataFrame, staged: DataFrame, target: Target, as_of:
     kept = joined.select(*[
         F.when(change, values[c]).otherwise(dimension[c]).alias(c) if c in values else dimension[c]
         for c in dimension.columns])
-    matched = _keys_as(_only_staged(dimension, pending, target), target)
+    matched = _keys_as(only_staged(dimension, pending, target), target)
     absent = pending.join(matched, _on(target, pending), "left_anti")
     added = assign_keys(absent.select(*target.payload, "stg_record_hash"), list(target.business_keys),
                         target.key, after)

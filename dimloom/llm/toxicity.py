@@ -150,7 +150,7 @@ def _features(text: Column, lexicon: dict[str, float]) -> Column:
 
 
 def _lexicon(rows: DataFrame, size: int) -> dict[str, float]:
-    """Words and stems by smoothed log-odds, from (text, toxic) rows."""
+    """Words and stems with their smoothed log-odds, from (text, toxic) rows, where the log-odds are no chance."""
     def count(batches):
         for batch in batches:
             seen: dict[str, list[int]] = {}
@@ -161,11 +161,17 @@ def _lexicon(rows: DataFrame, size: int) -> dict[str, float]:
 
     total = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     odds = F.log((F.col("toxic") + 0.5) / (total[1] + 1.0)) - F.log((F.col("clean") + 0.5) / (total[0] + 1.0))
-    best = (rows.select("text", "toxic").mapInPandas(count, "term string, clean bigint, toxic bigint")
-            .groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-            .filter(F.col("toxic") >= 3).withColumn("odds", odds)
-            .withColumn("z", F.col("odds") / F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5)))
-            .filter("odds >= 1.5 AND z >= 2.5").orderBy(F.desc("z"), "term").limit(size))
+    seen = cut(rows.select("text", "toxic").mapInPandas(count, "term string, clean bigint, toxic bigint")
+               .groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter(F.col("toxic") >= 3))
+    share = total[1] / (total[0] + total[1])
+    n = F.col("toxic") + F.col("clean")
+    # Log-likelihood of the term's own share of toxic texts against the common one.  Of as many terms as there are, chance alone brings
+    # about ten above the logarithm of a tenth of their number; the trees weigh those against the rest.
+    gain = F.col("toxic") * F.log(F.col("toxic") / n / share) + F.when(
+        F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / n / (1 - share))).otherwise(0.0)
+    best = (seen.withColumn("odds", odds).withColumn("gain", gain)
+            .filter((F.col("odds") >= 1.5) & (F.col("gain") >= float(np.log(max(20, seen.count()) / 10))))
+            .orderBy(F.desc("gain"), "term").limit(size))
     return {r["term"]: float(r["odds"]) for r in best.collect()}
 
 

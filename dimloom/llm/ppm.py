@@ -112,10 +112,10 @@ def collect_trie(tables: list[DataFrame], entries: int = ENTRIES) -> list[tuple[
         floors.append(least)
     out = []
     for table, floor in zip(tables, floors):
-        rows = table.filter(F.col("n") >= (1 << floor)).toPandas()
-        key = rows["key"].to_numpy(np.int64).view(_U)
+        rows = table.filter(F.col("n") >= (1 << floor)).toArrow()
+        key = rows["key"].to_numpy().astype(np.int64).view(_U)
         at = np.argsort(key)
-        out.append((key[at], rows["n"].to_numpy(np.int64)[at]))
+        out.append((key[at], rows["n"].to_numpy().astype(np.int64)[at]))
     return out
 
 
@@ -241,9 +241,11 @@ def fit(train: DataFrame, order: int = ORDER, entries: int = ENTRIES) -> Model:
     by_level = {r["level"]: r["number"] for r in words.groupBy(F.floor(F.log2("n")).cast("int").alias("level"))
                 .agg(F.count(F.lit(1)).alias("number")).collect()}
     floor = next(k for k in range(65) if sum(v for level, v in by_level.items() if level >= k) <= HEAD)
-    head = words.filter((F.col("n") >= F.lit(2.0 ** floor)) & (F.octet_length("word") > 0)).toPandas()
-    context = train.sparkSession.sparkContext
-    held = context.broadcast((levels, [bytes(w) for w in head["word"]], head["n"].tolist()))
+    head = words.filter((F.col("n") >= F.lit(2.0 ** floor)) & (F.octet_length("word") > 0)).toArrow()
+    # One string of all words (a word holds no space) and one array: small to pickle.
+    named, counts = b" ".join(head["word"].to_pylist()), head["n"].to_numpy().astype(np.int64)
+    del head
+    held = train.sparkSession.sparkContext.broadcast((levels, named, counts))
     return Model(held, words.filter((F.col("n") < F.lit(2.0 ** floor)) & (F.octet_length("word") > 0)), closing, total, distinct)
 
 
@@ -255,7 +257,7 @@ def _held(key: str, levels: Broadcast) -> tuple[Trie | None, dict[bytes, int]]:
     if key not in _HELD:
         _HELD.clear()
         by_order, head, counts = levels.value
-        _HELD[key] = Trie(by_order) if len(by_order[0][0]) else None, dict(zip(head, counts))
+        _HELD[key] = Trie(by_order) if len(by_order[0][0]) else None, dict(zip(head.split(b" ") if head else [], counts.tolist()))
     return _HELD[key]
 
 

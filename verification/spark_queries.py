@@ -446,12 +446,22 @@ ENTITY_TABLES = {"STAFFING_SCHEDULE": ("staffing_src", ("dim_staffing_schedule",
                  "COST": ("cost_src", ("dim_cost", "dim_timeline_cost"))}
 
 
+_WAREHOUSES: dict[tuple[str, str, str], Warehouse] = {}
+
+
 def _loaded(spark, sf, entity: str) -> Warehouse:
-    """Two runs of the loader into a fresh warehouse: the feed as it stood at the first day, then all of it."""
+    """Two runs of the loader into a fresh warehouse: the feed as it stood at the first day, then all of it.
+
+    The queries of one application that look at the same loads share them.
+    """
+    known = spark.sparkContext.applicationId, sf, entity
+    if known in _WAREHOUSES:
+        return _WAREHOUSES[known]
     source = fixture(spark, sf, ENTITY_TABLES[entity][0])
     warehouse = Warehouse(spark, f"{shared_folder(source)}/warehouse-{uuid.uuid4().hex}")
     for last, as_of, now in ((FIRST_DAY, FIRST_DAY, THEN), (LOAD_DAY, LOAD_DAY, NOW)):
         run_entity(warehouse, REGISTRY, entity, source.filter(F.col("reporting_date") <= F.lit(last)), as_of, now)
+    _WAREHOUSES[known] = warehouse
     return warehouse
 
 

@@ -31,12 +31,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, few: bool = False) -> DataFrame:
     """Cut lineage through the folder in ``spark.checkpoint.dir``, which every executor sees.
 
     Spark's cleaner removes the files with the DataFrame if
     ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on.  Only a single-process session without that setting (tests)
-    gets a folder of its own.  A few files for each core are enough, so many small partitions are read together.
+    gets a folder of its own.  ``few`` is for results that are small against the documents: a few files for each core are
+    enough for them.  What comes from a scan keeps its partitions, so that its tasks stay short.
     """
     spark = df.sparkSession
     context = spark.sparkContext
@@ -47,4 +48,4 @@ def cut(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             named = tempfile.mkdtemp(prefix="dimloom-checkpoints-")
         context.setCheckpointDir(named)
-    return df.coalesce(4 * context.defaultParallelism).checkpoint()
+    return (df.coalesce(4 * context.defaultParallelism) if few else df).checkpoint()

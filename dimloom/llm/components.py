@@ -17,16 +17,16 @@ def contract(edges: DataFrame) -> DataFrame:
     """
     proper = lambda e: (e.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                         .distinct())
-    left, rounds = cut(proper(edges)), []
+    left, rounds = cut(proper(edges), few=True), []
     while left.count():
         rank = lambda c, r=len(rounds): F.struct(F.xxhash64(F.lit(r), c).alias("h"), c.alias("v"))
         both = left.union(left.select("b", "a"))
         hooks = cut(both.groupBy(F.col("a").alias("node"))
-                    .agg(F.min(F.least(rank(F.col("a")), rank(F.col("b"))))["v"].alias("root")))
+                    .agg(F.min(F.least(rank(F.col("a")), rank(F.col("b"))))["v"].alias("root")), few=True)
         rounds.append(hooks)
         left = cut(proper(left.join(hooks.toDF("a", "ra"), "a")
                           .join(hooks.toDF("b", "rb"), "b")
-                          .select(F.col("ra").alias("a"), F.col("rb").alias("b"))))
+                          .select(F.col("ra").alias("a"), F.col("rb").alias("b"))), few=True)
     if not rounds:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).limit(0)
     found = rounds[0]

@@ -129,7 +129,7 @@ def disclosing_terms(docs: DataFrame, scanned: DataFrame, support: int = 3, gene
     count_e = seen.groupBy("entity").agg(F.count(F.lit(1)).alias("c_e")).filter(F.col("c_e") >= support)
     pairs = cut(seen.join(count_e, "entity").select("entity", "c_e", F.explode(F.split("terms", " ")).alias("term"))
                 .filter("term <> ''").groupBy("entity", "c_e", "term").agg(F.count(F.lit(1)).alias("c_te"))
-                .filter(F.col("c_te") >= support))
+                .filter(F.col("c_te") >= support), few=True)
     terms = pairs.select("term").distinct()
     n_terms = terms.count()
     if not n_terms:

@@ -109,7 +109,7 @@ def links(prints: DataFrame, radius: int = 4, tile: int = TILE) -> DataFrame:
 def components(docs: DataFrame, radius: int = 4, shingle: int = 4) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
     prints = cut(fingerprints(docs, shingle))
-    roots = cut(contract(links(prints, radius)))
+    roots = cut(contract(links(prints, radius)), few=True)
     first = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     named = (first.join(roots, first["fp"] == roots["node"], "left")
              .select("fp", F.coalesce("root", "fp").alias("root"), "least"))

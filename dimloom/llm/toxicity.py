@@ -162,7 +162,7 @@ def _lexicon(rows: DataFrame, size: int) -> dict[str, float]:
     total = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     odds = F.log((F.col("toxic") + 0.5) / (total[1] + 1.0)) - F.log((F.col("clean") + 0.5) / (total[0] + 1.0))
     seen = cut(rows.select("text", "toxic").mapInPandas(count, "term string, clean bigint, toxic bigint")
-               .groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter(F.col("toxic") >= 3))
+               .groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter(F.col("toxic") >= 3), few=True)
     share = total[1] / (total[0] + total[1])
     n = F.col("toxic") + F.col("clean")
     # Log-likelihood of the term's own share of toxic texts against the common one.  Of as many terms as there are, chance alone brings

@@ -122,3 +122,8 @@ def test_scope_loads_show_in_the_run_report(spark, warehouse):
     mapping = spark.createDataFrame([], "mapping_id bigint, target_table string")
     found = reports.run_summary(warehouse.run_log(), scope_runner.scope_entities(spark), mapping, dt.datetime(2024, 2, 2)).collect()
     assert [(r.entity_name, r.status) for r in found] == [("STAFFING_SCOPE", "SUCCESS")]
+
+
+def test_empty_codes_are_missing_codes(spark, warehouse):
+    result = staffing(warehouse, feed(spark, AU, ("AU-01", "", "lost", "Company")), 1)
+    assert result.unmatched_rows == 1 and valid(warehouse, "valid_staffing_schedule") == ["au"]

@@ -1,10 +1,10 @@
 """Personal data and the terms that give it away.
 
 Patterns find e-mail addresses, IP addresses, card and phone numbers.  What they find are the protected entities.  Over the whole corpus,
-the terms within ``window`` words of an entity are counted by distinct context (copies of a passage are one context), and compared with
-the documents that hold the term anywhere.  With C(e) contexts of an entity, C(t, e) of them with the term, C(t) documents with
-the term and D documents, the term reveals ``log2(C(t, e) D / (C(t) C(e)))`` of the entity's ``-log2(C(e) / D)`` bits.  In
-documents that hold the entity, a term with at least ``support`` contexts is generalised if it reveals the share ``generalise_at`` and
+the terms within ``window`` words of an entity are compared with the texts that hold the term anywhere.  All counts are of distinct texts: with
+C(e) texts of an entity, C(t, e) of them with the term beside it, C(t) with the term and D in all, the term reveals
+``log2(C(t, e) D / (C(t) C(e)))`` of the entity's ``-log2(C(e) / D)`` bits.  In documents that hold the entity, a term with at least
+``support`` distinct contexts (copies of a passage are one context) is generalised if it reveals the share ``generalise_at`` and
 removed from ``remove_at`` on.
 
 Defined results: a null or empty text has no spans; rows are told apart by id and text, so repeated rows get equal results and rows that
@@ -124,21 +124,29 @@ def _scan(docs: DataFrame, window: int) -> DataFrame:
 def disclosing_terms(docs: DataFrame, scanned: DataFrame, support: int = 3, generalise_at: float = 0.8,
                      remove_at: float = 0.95) -> DataFrame:
     """(entity, term, share, remove): terms that reveal at least ``generalise_at`` of an entity's information."""
-    seen = scanned.select(F.explode("contexts").alias("context")).distinct().select(
-        F.split("context", "\t")[0].alias("entity"), F.split("context", "\t")[1].alias("terms"))
-    count_e = seen.groupBy("entity").agg(F.count(F.lit(1)).alias("c_e")).filter(F.col("c_e") >= support)
-    pairs = cut(seen.join(count_e, "entity").select("entity", "c_e", F.explode(F.split("terms", " ")).alias("term"))
-                .filter("term <> ''").groupBy("entity", "c_e", "term").agg(F.count(F.lit(1)).alias("c_te"))
-                .filter(F.col("c_te") >= support), few=True)
+    seen = scanned.select("text_hash", F.explode("contexts").alias("context")).distinct().select(
+        "text_hash", F.split("context", "\t")[0].alias("entity"), F.split("context", "\t")[1].alias("terms"))
+    count_e = seen.groupBy("entity").agg(F.count_distinct("terms").alias("met"), F.count_distinct("text_hash").alias("c_e")).filter(F.col("met") >= support)
+    pairs = cut(seen.join(count_e, "entity").select("entity", "c_e", "text_hash", "terms", F.explode(F.split("terms", " ")).alias("term"))
+                .filter("term <> ''").groupBy("entity", "c_e", "term")
+                .agg(F.count_distinct("terms").alias("met"), F.count_distinct("text_hash").alias("c_te"))
+                .filter(F.col("met") >= support).drop("met"), few=True)
     terms = pairs.select("term").distinct()
     n_terms = terms.count()
     if not n_terms:
         return pairs.select("entity", "term", F.lit(1.0).alias("share"), F.lit(True).alias("remove"))
-    everywhere = docs.select(F.explode(F.array_distinct(F.split(ascii_lower(F.coalesce("text", F.lit(""))), _GAP))).alias("term"))
+    # Copies of a text weigh as one.
+    hashes = scanned.groupBy("text_hash").agg(F.count(F.lit(1)).alias("many"))
+    copied = cut(hashes.filter("many > 1"), few=True)
+    n_copied = copied.count()
+    texts = docs.select(F.xxhash64("text").alias("text_hash"), "text")
+    weighed = texts.join(F.broadcast(copied) if n_copied <= BROADCAST_TERMS else copied, "text_hash", "left").select(
+        "text", (1 / F.coalesce("many", F.lit(1))).alias("weight"))
+    everywhere = weighed.select("weight", F.explode(F.array_distinct(F.split(ascii_lower(F.coalesce("text", F.lit(""))), _GAP))).alias("term"))
     # Counted before the join: a common term would pass it once for every document.  (Spark moves a semi join below the count.)
-    count_t = (everywhere.groupBy("term").agg(F.count(F.lit(1)).alias("c_t"))
+    count_t = (everywhere.groupBy("term").agg(F.round(F.sum("weight")).alias("c_t"))
                .join(F.broadcast(terms) if n_terms <= BROADCAST_TERMS else terms, "term"))
-    total = F.lit(float(max(2, scanned.count())))
+    total = F.lit(float(max(2, hashes.count())))
     share = F.log2(F.col("c_te") * total / (F.col("c_t") * F.col("c_e"))) / F.greatest(-F.log2(F.col("c_e") / total), F.lit(1e-9))
     return (pairs.join(count_t, "term").withColumn("share", share).filter(F.col("share") >= generalise_at)
             .select("entity", "term", "share", (F.col("share") >= remove_at).alias("remove")))

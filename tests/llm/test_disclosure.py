@@ -58,6 +58,15 @@ def test_disclosing_terms_join_the_base_spans_and_copies_do_not_count(clashing):
         assert rows[doc_id].spans.split(",") == (extra + [base] if extra else [base])
 
 
+def test_copies_do_not_hide_a_disclosing_term(clashing):
+    docs = corpus() + [(i, f"some other words number {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}") for i in range(1000, 1200)]
+    docs += [(2000 + i, docs[0][1]) for i in range(60)] + [(3000 + i, f"{docs[1][1]} more{chr(97 + i)}") for i in range(26)]  # whole and quoted
+    rows = {r.doc_id: r for r in D.digests(clashing(docs, "doc_id long, text string")).collect()}
+    for i in (0, 3, 2005, 3005):
+        at = dict(docs)[i].find("Zarkovia")
+        assert f"term:{at}:{at + 8}" in rows[i].spans.split(",")
+
+
 def test_sanitised_text(clashing):
     docs = corpus() + [(900, None), (901, "call +1 (212) 555-0153 or 10.0.0.1!")]
     table = clashing(docs, "doc_id long, text string").selectExpr("*", "length(text) AS n_chars")

@@ -5,8 +5,10 @@ A text is its words (A-Z lower-cased, split at ASCII white space), joined by sin
 escaped to the next shorter one (escape estimate D), where the symbols of the longer one are excluded.  The code length of all
 bytes, closing one included, is the text's log10 probability.
 
-Every training byte is counted.  The trie that scores, which every worker holds, is bounded by ``entries``: of an order with more
-distinct n-grams than fit, those below the least power of two that makes them fit are left to the shorter contexts.
+Every training byte is counted and every count scores.  A trie of more than ``entries`` n-grams is split by ranges of the last ``SPLIT`` bytes of
+the context: a byte's contexts of that length or more all end in them, so they lie in one shard, and shorter contexts stand in all.  Texts are read
+once per shard; each time, the bytes whose contexts lie in it are scored, and the sums of a text are added.  Workers and driver hold one shard
+at a time, of about ``entries`` n-grams, or one range that cannot be split.
 
 Beside it stands a unigram baseline over words and one closing token per text, counted and smoothed over all training texts.  Frequent words
 (at most ``HEAD``) are looked up in place, all others through a join.
@@ -21,18 +23,19 @@ import math
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimloom.llm.common import cut
 
 ORDER = 5
-#: Entries of the scoring trie over all orders, words of the head, and positions handled at once.
-ENTRIES, HEAD, STEP = 3_000_000, 250_000, 1 << 20
+#: Entries of a shard of the trie over all orders, words of the head, positions handled at once, and context bytes that name a shard.
+ENTRIES, HEAD, STEP, SPLIT = 3_000_000, 250_000, 1 << 20, 3
 _U = np.uint64
 
 
@@ -97,22 +100,34 @@ def count_grams(train: DataFrame, order: int = ORDER) -> list[DataFrame]:
     return tables[::-1]
 
 
-def collect_trie(tables: list[DataFrame], entries: int = ENTRIES) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Sorted (keys, counts) by order, thinned to ``entries`` in all; thresholds never fall with the order, so contexts stay nested."""
-    floors, room, least = [], entries, 0
-    sizes = []
-    for table in tables:  # at most 64 rows each
-        sizes.append({r["level"]: r["number"] for r in table.groupBy(F.floor(F.log2("n")).cast("int").alias("level"))
-                     .agg(F.count(F.lit(1)).alias("number")).collect()})
-    for k, size in enumerate(sizes):
-        share = room // (len(sizes) - k) if k < len(sizes) - 1 else room
-        while sum(v for level, v in size.items() if level >= least) > max(share, 256):
-            least += 1
-        room -= sum(v for level, v in size.items() if level >= least)
-        floors.append(least)
+def _end(key: str = "key") -> Column:
+    return F.shiftright(key, 8).bitwiseAND((1 << 8 * SPLIT) - 1)
+
+
+def shards_of(tables: list[DataFrame], entries: int = ENTRIES) -> list[tuple[int, int]]:
+    """Ranges [low, high) of the last ``SPLIT`` context bytes, each with about ``entries`` n-grams in all orders."""
+    top = 1 << 8 * SPLIT
+    if len(tables) <= SPLIT:
+        return [(0, top)]
+    shared = sum(t.count() for t in tables[:SPLIT])
+    sizes = reduce(DataFrame.union, [t.select(_end().alias("end")) for t in tables[SPLIT:]]).groupBy("end").count().toArrow()  # 2 ** 24 rows at most
+    end, n = sizes["end"].to_numpy().astype(np.int64), sizes["count"].to_numpy().astype(np.int64)
+    at = np.argsort(end)
+    room, lows, held = max(entries - shared, entries // 2, 1), [0], 0
+    for e, m in zip(end[at].tolist(), n[at].tolist()):
+        if held and held + m > room:
+            lows.append(e)
+            held = 0
+        held += m
+    return list(zip(lows, [*lows[1:], top]))
+
+
+def collect_trie(tables: list[DataFrame], low: int = 0, high: int = 1 << 8 * SPLIT) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sorted (keys, counts) by order, of longer contexts those that end in [low, high)."""
     out = []
-    for table, floor in zip(tables, floors):
-        rows = table.filter(F.col("n") >= (1 << floor)).toArrow()
+    for k, table in enumerate(tables):
+        part = table.filter((_end() >= low) & (_end() < high)) if k >= SPLIT and high - low < 1 << 8 * SPLIT else table
+        rows = part.toArrow()
         key = rows["key"].to_numpy().astype(np.int64).view(_U)
         at = np.argsort(key)
         out.append((key[at], rows["n"].to_numpy().astype(np.int64)[at]))
@@ -213,11 +228,12 @@ class Trie:
 
 
 class Model:
-    """Trie and frequent words, as a broadcast; the counts of all words, as a table."""
+    """Counts of n-grams and of rare words, as tables; frequent words; the shards' ranges."""
 
-    def __init__(self, levels: Broadcast, words: DataFrame, closing: int, total: int, distinct: int) -> None:
-        self.levels, self.words, self.closing, self.total, self.distinct = levels, words, closing, total, distinct
-        self.id = uuid.uuid4().hex
+    def __init__(self, tables: list[DataFrame], shards: list[tuple[int, int]], head: tuple[bytes, np.ndarray], words: DataFrame, closing: int,
+                 total: int, distinct: int) -> None:
+        self.tables, self.shards, self.head, self.words = tables, shards, head, words
+        self.closing, self.total, self.distinct = closing, total, distinct
 
 
 def fit(train: DataFrame, order: int = ORDER, entries: int = ENTRIES) -> Model:
@@ -235,7 +251,7 @@ def fit(train: DataFrame, order: int = ORDER, entries: int = ENTRIES) -> Model:
     words = cut(train.select("text").mapInPandas(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n")))
     sums = words.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct"),
                      F.sum(F.when(F.octet_length("word") == 0, F.col("n"))).alias("closing")).first()
-    levels = collect_trie(count_grams(train, order), entries)
+    tables = count_grams(train, order)
     total, distinct, closing = sums["total"] or 0, sums["distinct"], sums["closing"] or 0
     # Of the words with a count from some power of two on there are at most HEAD; the levels are 64 rows at most.
     by_level = {r["level"]: r["number"] for r in words.groupBy(F.floor(F.log2("n")).cast("int").alias("level"))
@@ -245,15 +261,15 @@ def fit(train: DataFrame, order: int = ORDER, entries: int = ENTRIES) -> Model:
     # One string of all words (a word holds no space) and one array: small to pickle.
     named, counts = b" ".join(head["word"].to_pylist()), head["n"].to_numpy().astype(np.int64)
     del head
-    held = train.sparkSession.sparkContext.broadcast((levels, named, counts))
-    return Model(held, words.filter((F.col("n") < F.lit(2.0 ** floor)) & (F.octet_length("word") > 0)), closing, total, distinct)
+    return Model(tables, shards_of(tables, entries), (named, counts), words.filter((F.col("n") < F.lit(2.0 ** floor)) & (F.octet_length("word") > 0)),
+                 closing, total, distinct)
 
 
 _HELD: dict = {}
 
 
 def _held(key: str, levels: Broadcast) -> tuple[Trie | None, dict[bytes, int]]:
-    """The broadcast model as tables, built once per worker process."""
+    """The broadcast shard as tables, built once per worker process."""
     if key not in _HELD:
         _HELD.clear()
         by_order, head, counts = levels.value
@@ -263,17 +279,46 @@ def _held(key: str, levels: Broadcast) -> tuple[Trie | None, dict[bytes, int]]:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every row."""
-    key, levels = model.id, model.levels
     smooth = model.total + 0.5 * (model.distinct + 1)
+    context = docs.sparkSession.sparkContext
 
-    def lengths(texts: list[bytes], trie: Trie | None) -> list[float]:
-        """Of texts of some STEP bytes together."""
+    def lengths(texts: list[bytes], trie: Trie | None, low: int, high: int) -> list[float]:
+        """Of texts of some STEP bytes together, the bytes whose contexts end in [low, high)."""
         sizes = np.array([len(t) + 1 for t in texts])
         if trie is None:
             return (-np.log10(256.0) * sizes).tolist()
-        return np.add.reduceat(trie.lengths(grams(texts, trie.order)), np.cumsum(sizes) - sizes).tolist()
+        key = grams(texts, trie.order)
+        if high - low == 1 << 8 * SPLIT:
+            value = trie.lengths(key)
+        else:
+            end = (key >> _U(8)) & _U((1 << 8 * SPLIT) - 1)
+            own = np.flatnonzero((end >= low) & (end < high))
+            value = np.zeros(len(key))
+            value[own] = trie.lengths(key[own])
+        return np.add.reduceat(value, np.cumsum(sizes) - sizes).tolist()
+
+    def passed(low: int, high: int, head: tuple[bytes, np.ndarray], rows: DataFrame, shape: str) -> DataFrame:
+        held, key = context.broadcast((collect_trie(model.tables, low, high), *head)), uuid.uuid4().hex
+        again = "doc_id" not in rows.columns
+        out = cut(rows.mapInPandas((lambda b: more(b, key, held, low, high)) if again else (lambda b: run(b, key, held, low, high)), shape))
+        held.unpersist()
+        return out
+
+    def more(batches: Iterator[pd.DataFrame], key: str, levels: Broadcast, low: int, high: int) -> Iterator[pd.DataFrame]:
+        trie, _ = _held(key, levels)
+        for batch in batches:
+            part, size, found = [], 0, []
+            for text in batch["text"]:
+                part.append(b" ".join(words_of(text)))
+                size += len(part[-1]) + 1
+                if size >= STEP:
+                    found += lengths(part, trie, low, high)
+                    part, size = [], 0
+            if part:
+                found += lengths(part, trie, low, high)
+            yield pd.DataFrame({"h1": batch["h1"].array, "h2": batch["h2"].array, "score": found})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame], key: str, levels: Broadcast, low: int, high: int) -> Iterator[pd.DataFrame]:
         trie, head = _held(key, levels)
         for batch in batches:
             rows, part, size, found = [], [], 0, []
@@ -291,20 +336,30 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                         base += n * math.log10(c + 0.5)
                 rows.append((len(words) + 1, known, base, list(rare), list(rare.values())))
                 if size >= STEP:
-                    found += lengths(part, trie)
+                    found += lengths(part, trie, low, high)
                     part, size = [], 0
             if part:
-                found += lengths(part, trie)
+                found += lengths(part, trie, low, high)
             out = pd.DataFrame(rows, columns=["n_tokens", "known", "base", "rare", "many"])
             out.insert(0, "score", found)
             out.insert(0, "doc_id", batch["doc_id"].array)
-            out.insert(0, "row", batch["row"].array)
+            for name in ("row", "h2", "h1"):
+                out.insert(0, name, batch[name].array)
             yield out
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     # Row numbers are fixed by the checkpoint, which both branches below read.
-    scored = cut(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInPandas(
-        run, f"row bigint, doc_id {kind}, score double, n_tokens bigint, known bigint, base double, rare array<binary>, many array<bigint>"))
+    hashes = [F.xxhash64(F.lit(k), "text").alias(f"h{k}") for k in (1, 2)]
+    scored = passed(*model.shards[0], model.head, docs.select(*hashes, F.monotonically_increasing_id().alias("row"), "doc_id", "text"),
+                    f"h1 bigint, h2 bigint, row bigint, doc_id {kind}, score double, n_tokens bigint, known bigint, base double, rare array<binary>, "
+                    "many array<bigint>")
+    # A text's sums in the other shards depend on the text alone, so its hashes name them.
+    parts = [passed(low, high, (b"", np.zeros(0, np.int64)), docs.select(*hashes, "text"), "h1 bigint, h2 bigint, score double")
+             .groupBy("h1", "h2").agg(F.max("score").alias("score")) for low, high in model.shards[1:]]
+    if parts:
+        rest = reduce(DataFrame.union, parts).groupBy("h1", "h2").agg(F.sum("score").alias("rest"))
+        scored = cut(scored.join(rest, ["h1", "h2"]).withColumn("score", F.col("score") + F.col("rest")).drop("rest"))
+    scored = scored.drop("h1", "h2")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "many")).alias("w")).select("row", F.col("w.rare").alias("word"), "w.many")
     met = (rare.join(model.words, "word").groupBy("row").agg(
         F.sum("many").alias("more"), F.sum(F.col("many") * F.log10(F.col("n") + 0.5)).alias("own")))

@@ -105,6 +105,18 @@ def test_language_model_is_brute_force(spark, clashing):
         assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (len(words), sum(w in c for w in words), total)
 
 
+def test_language_model_in_shards_is_the_whole_one(spark, clashing):
+    rng = random.Random(12)
+    make = lambda: " ".join("".join(rng.choice("abcd") for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(1, 60)))
+    docs = clashing([(i, make()) for i in range(60)] + [(90, None), (90, "abc"), (91, "abc"), (None, "é z")], "doc_id long, text string")
+    sharded = ppm.fit(docs.filter("doc_id < 40"), entries=2_500)
+    whole = ppm.fit(docs.filter("doc_id < 40"))
+    scored = lambda model: [x for row in sorted(map(tuple, ppm.score(docs, model).collect()), key=str) for x in row]
+    got, want = scored(sharded), scored(whole)
+    assert [x for x in got if x is not None] == pytest.approx([x for x in want if x is not None], rel=1e-6)
+    assert len(sharded.shards) > 2 and len(whole.shards) == 1
+
+
 def test_language_model_head_and_join_agree(spark, clashing, monkeypatch):
     docs = clashing([(i, f"common word{i} common word{i // 2}") for i in range(20)], "doc_id long, text string")
     scored = lambda: [x for row in sorted(map(tuple, ppm.score(docs, ppm.fit(docs, 2)).collect())) for x in row]

@@ -34,6 +34,10 @@ _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _BEGUN = re.compile(r"</?[a-zA-Z]")
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _RAW = frozenset("script style textarea title noscript template svg iframe select xmp".split())
+#: Those whose text browsers read to the end of the page if they are not closed; of the others only the tag is skipped then.
+_TO_END = frozenset("script style textarea title iframe xmp".split())
+#: What leaves an open head open.
+_HEAD = frozenset("head html title meta link base style script template noscript".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup "
                     "time tt u var wbr img br".split())
@@ -69,6 +73,7 @@ def blocks_of(html: str) -> list[Block]:
     stack: list[tuple[str, frozenset[str], int]] = []
     out: list[Block] = []
     parts: list[str] = []
+    unclosed: set[str] = set()
     linked, in_link, serial, at, n = 0, False, 0, 0, len(html)
 
     def flush() -> None:
@@ -91,14 +96,22 @@ def blocks_of(html: str) -> list[Block]:
         if tag is None:
             piece = m[0]
             if piece[0] != "<" or piece == "<":
+                if stack and stack[-1][0] == "head" and not piece.isspace():
+                    flush()
+                    stack.pop()
                 parts.append(piece)
                 linked += len(piece) if in_link else 0
             continue
         tag = tag.lower()
+        if not m[1] and stack and stack[-1][0] == "head" and tag not in _HEAD:
+            flush()
+            stack.pop()
         if tag in _RAW:
-            if not m[1]:
+            if not m[1] and not (tag == "svg" and m[3].endswith("/")) and tag not in unclosed:
                 end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
-                at = end.end() if end else n
+                if end is None:
+                    unclosed.add(tag)  # sought once a page
+                at = end.end() if end else n if tag in _TO_END else at
             continue
         if tag in _INLINE:
             in_link = not m[1] if tag == "a" else in_link
@@ -113,8 +126,7 @@ def blocks_of(html: str) -> list[Block]:
                     del stack[i:]
                     break
         elif tag not in _VOID and not m[3].endswith("/"):
-            while stack and (stack[-1][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6") or stack[-1][0] in _CLOSES.get(tag, ())
-                             or stack[-1][0] == "head" and tag == "body"):
+            while stack and (stack[-1][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6") or stack[-1][0] in _CLOSES.get(tag, ())):
                 stack.pop()
             serial += 1
             named = [w for a in _ATTRIBUTE.finditer(m[3]) for w in re.split(r"[^a-z]+", (a[2] or a[3] or a[4] or "").lower())] if m[3] else []

@@ -193,6 +193,16 @@ def test_blocks_of_broken_markup():
     assert len(pages.blocks_of("<div>" * 3_000 + "deep")) == 1
 
 
+def test_blocks_of_pages_without_head_ends_and_with_unclosed_parts():
+    texts = lambda html: [b.text for b in pages.blocks_of(html)]
+    assert texts("<html><head><title>t</title><meta charset=x><h1>One</h1><p>two") == ["One", "two"]
+    assert texts("<head><title>t</title><style>a</style>plain <b>words</b><p>two</head>") == ["plain words", "two"]
+    assert texts("<head><title>t</title><a href=x>link</a><noscript>no</noscript></head><body><p>x") == ["link", "x"]
+    for tag in ("svg", "noscript", "select", "template"):
+        assert texts(f"<p>one</p><{tag}><p>two</p><{tag}><p>three") == ["one", "two", "three"], tag
+    assert texts("<p>one</p><svg/><p>two</p><svg>no</svg>") == ["one", "two"]
+
+
 def test_viterbi_is_the_best_labelling():
     chain = pages.train([pages._labelled(html, main.split("\n")) for html, main in made(3, 40)], rounds=30)
     blocks = pages.blocks_of(made(4, 1)[0][0])[:9]

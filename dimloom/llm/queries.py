@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimloom.llm import bpe, decontaminate, disclosure, langid, licences, pages, ppm, pq, simhash, toxicity
+from dimloom.llm import audit, bpe, decontaminate, disclosure, langid, licences, pages, ppm, pq, simhash, toxicity, whitening
 from dimloom.llm.common import fold, table
 
 
@@ -61,14 +61,24 @@ def op10_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return disclosure.digests(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return whitening.components(rows, whitening.fit(rows))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_toxicity, op2_ppm_scores, op3_html_extraction, op4_license_scan, op5_simhash_near_dedup, op6_benchmark_decontamination, op7_bpe_coding, op8_embedding_near_dedup, op9_language_id, op10_pii_disclosure)}
+        op1_toxicity, op2_ppm_scores, op3_html_extraction, op4_license_scan, op5_simhash_near_dedup, op6_benchmark_decontamination, op7_bpe_coding, op8_embedding_near_dedup, op9_language_id, op10_pii_disclosure,
+        op11_filter_audit, op13_embedding_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the operators that SQL can express."""
-    return {"op6_benchmark_decontamination": OP6, "op8_embedding_near_dedup": OP8}
+    return {"op6_benchmark_decontamination": OP6, "op8_embedding_near_dedup": OP8, "op11_filter_audit": OP11}
 
 
 OP6 = r"""
@@ -109,3 +119,41 @@ SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, coalesce(component_id,
        coalesce(component_id, vec_id) = vec_id AS kept
 FROM embeddings LEFT JOIN class ON vec_id = class.a LEFT JOIN degree ON vec_id = degree.a
 """
+
+OP11 = r"""
+WITH doc AS (
+  SELECT doc_id, coalesce(CAST(source AS VARCHAR), '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+flag AS (
+  SELECT doc_id, part, CAST(len(ws) < 50 AS INTEGER) AS a, CAST(100 * len(list_distinct(ws)) < 65 * len(ws) AS INTEGER) AS b,
+         CAST(100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t) AS INTEGER) AS c,
+         CAST(regexp_matches(t, '[#$%&*|]') AS INTEGER) AS d,
+         CAST(coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS INTEGER) AS e FROM doc),
+marked AS (
+  SELECT doc_id, CAST(coalesce(bool_or(quality = 1), false) AS INTEGER) AS good, CAST(coalesce(bool_or(toxic = 1), false) AS INTEGER) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+cell AS (
+  SELECT part, a + 2 * b + 4 * c + 8 * d + 16 * e AS mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM flag LEFT JOIN marked ON flag.doc_id = marked.doc_id GROUP BY ALL),
+letter AS (SELECT chr(65 + CAST(i AS INTEGER)) AS l, CAST(1 << i AS INTEGER) AS bit FROM range(5) AS t(i)),
+perm AS (
+  SELECT p.l || q.l || r.l || s.l || u.l AS filter_order, [p.bit, q.bit, r.bit, s.bit, u.bit] AS bits
+  FROM letter p JOIN letter q ON p.l <> q.l JOIN letter r ON r.l NOT IN (p.l, q.l) JOIN letter s ON s.l NOT IN (p.l, q.l, r.l)
+  JOIN letter u ON u.l NOT IN (p.l, q.l, r.l, s.l)),
+step AS (
+  SELECT filter_order, CAST(i AS INTEGER) AS step, bits[i] AS bit, coalesce(list_sum(list_slice(bits, 1, i - 1)), 0)::INTEGER AS before
+  FROM perm, range(1, 6) AS t(i)),
+told AS (
+  SELECT part, filter_order, step, bit,
+         sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN mask & bit > 0 AND mask & before > 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM cell, step GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM told
+"""

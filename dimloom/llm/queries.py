@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimloom.llm import audit, bpe, decontaminate, disclosure, langid, licences, pages, ppm, pq, simhash, toxicity, whitening
+from dimloom.llm import audit, bpe, decontaminate, disclosure, langid, licences, pages, ppm, pq, quality, simhash, toxicity, whitening
 from dimloom.llm.common import fold, table
 
 
@@ -65,6 +65,12 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels.select("doc_id", "quality").filter(fold("doc_id", 4) != 2))
+    return quality.scores(docs, model).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return whitening.components(rows, whitening.fit(rows))
@@ -73,7 +79,7 @@ def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_toxicity, op2_ppm_scores, op3_html_extraction, op4_license_scan, op5_simhash_near_dedup, op6_benchmark_decontamination, op7_bpe_coding, op8_embedding_near_dedup, op9_language_id, op10_pii_disclosure,
-        op11_filter_audit, op13_embedding_whitening)}
+        op11_filter_audit, op12_quality, op13_embedding_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -68,11 +68,13 @@ def _same_codes(left: DataFrame, right: DataFrame) -> Column:
     return all_of([left[c].eqNullSafe(right[c]) for c in CODING_COLUMNS])
 
 
-def upsert_reference(reference: DataFrame, codings: DataFrame, flag: str) -> DataFrame:
+def upsert_reference(reference: DataFrame, codings: DataFrame, flag: str, after: Column | int | None = None) -> DataFrame:
     """Merge coding combinations into the reference under ``staffing_flag`` or ``cost_flag``.
 
     A known combination, missing codes included, keeps its key and gains the flag; a new
-    one gets the next key.  Repeating the call changes nothing.
+    one gets the next key.  Repeating the call changes nothing.  ``after`` is the highest key
+    given so far, where ``reference`` is a part of the table and cannot tell; without it, the
+    highest in ``reference`` counts.
     """
     seen = codings.select(*CODING_COLUMNS, F.lit(1).alias("_seen"))
     joined = reference.join(seen, _same_codes(reference, seen), "left")
@@ -80,7 +82,7 @@ def upsert_reference(reference: DataFrame, codings: DataFrame, flag: str) -> Dat
         F.greatest(reference[c], F.col("_seen")).alias(c) if c == flag else reference[c]
         for c in reference.columns])
     fresh = codings.join(reference, _same_codes(codings, reference), "left_anti")
-    numbered = assign_keys(fresh, list(CODING_COLUMNS), "gcs_key", highest_key(reference, "gcs_key"))
+    numbered = assign_keys(fresh, list(CODING_COLUMNS), "gcs_key", highest_key(reference, "gcs_key") if after is None else after)
     other = "cost_flag" if flag == "staffing_flag" else "staffing_flag"
     return kept.unionByName(numbered.withColumns({
         flag: F.lit(1), other: F.lit(0), "is_valid": F.lit(1)}).select(*reference.columns))

@@ -2,9 +2,10 @@
 
 Staged rows are unique per key (``latest_per_key``) and a dimension holds one
 current row per key, so every join here is one-to-one and no key can be hot.
-The classification reads only key and hash of the current rows; the payload of
-the dimension is joined with the changed keys alone, which Spark broadcasts when
-they are few and otherwise shuffles.
+The classification reads only key and hash of the current rows, reduced in place to
+about the staged keys; the payload of the dimension is joined with the changed keys
+alone, which Spark broadcasts when they are few and otherwise shuffles.  The merge reads
+either side once.
 """
 
 from __future__ import annotations
@@ -17,8 +18,10 @@ from pyspark.sql import functions as F
 
 from dimloom.functions.dates import OPEN_END
 from dimloom.operators.keys import assign_keys
+from dimloom.operators.reduce import maybe_among
 from dimloom.operators.staging import union_all
 from dimloom.plans.registry import Mapping, Registry
+from dimloom.sources.settle import settle
 
 
 @dataclass(frozen=True)
@@ -80,12 +83,13 @@ def only_staged(rows: DataFrame, staged: DataFrame, target: Target) -> DataFrame
 def classify(staged: DataFrame, dimension: DataFrame, target: Target, written: bool = False) -> DataFrame:
     """Set ``stg_action`` of pending rows: UNCHANGED, UPDATE, or INSERT when no current row exists.
 
-    ``written`` says that the staged rows stand in a table, so their size is known and the
-    current rows are first reduced to the staged keys.
+    ``written`` says that the staged rows stand in a table and are cheap to read twice: the current
+    rows are then tested against a map of the staged keys before any of them is shuffled, so the join
+    moves about as many rows as are staged, however large the dimension.
     """
     current = current_rows(dimension, target)
     if written:
-        current = only_staged(current, staged, target)
+        current = maybe_among(current, staged, [(k, k) for k in target.business_keys])
     known = _keys_as(current, target, F.col(target.hash).alias("_hash"), F.lit(True).alias("_known"))
     joined = staged.join(known, _on(target, staged), "left")
     action = (
@@ -156,30 +160,26 @@ def merge_by_key(dimension: DataFrame, staged: DataFrame, target: Target, as_of:
     """Upsert pending rows: rewrite matched rows whose hash differs, add unmatched, keep the rest.
 
     Also the load of a type-1 dimension.  Hashes are compared null-safely, so a row that
-    never had a hash is rewritten.
+    never had a hash is rewritten.  One full join reads either side once and tags each row;
+    its result is written out, and the added rows, read back alone, get their keys.
     """
     pending = staged.filter(F.col("stg_status") == "PENDING")
     incoming = _keys_as(pending, target, F.col("stg_record_hash").alias("_hash"), F.lit(True).alias("_in"),
                         *[F.col(a).alias(f"_v_{a}") for a in target.attributes])
-    joined = dimension.join(incoming, _on(target, dimension), "left")
-    change = F.col("_in").isNotNull() & ~F.col(target.hash).eqNullSafe(F.col("_hash"))
-    values = {a: F.col(f"_v_{a}") for a in target.attributes} | {
+    joined = dimension.withColumn("_old", F.lit(True)).join(incoming, _on(target, dimension), "full_outer")
+    added = F.col("_old").isNull()
+    change = added | (F.col("_in").isNotNull() & ~F.col(target.hash).eqNullSafe(F.col("_hash")))
+    values = {k: F.col(f"_k_{k}") for k in target.business_keys} | {a: F.col(f"_v_{a}") for a in target.attributes} | {
         target.hash: F.col("_hash"),
         "reporting_date": F.lit(reporting_date),
         "etl_run_id": F.lit(run_id).cast("bigint"),
         "etl_load_date": F.lit(as_of),
     }
-    kept = joined.select(*[
-        F.when(change, values[c]).otherwise(dimension[c]).alias(c) if c in values else dimension[c]
-        for c in dimension.columns])
-    matched = _keys_as(only_staged(dimension, pending, target), target)
-    absent = pending.join(matched, _on(target, pending), "left_anti")
-    added = assign_keys(absent.select(*target.payload, "stg_record_hash"), list(target.business_keys),
-                        target.key, after)
-    return kept.unionByName(added.select(
-        F.col(target.key), *target.payload, F.col("stg_record_hash").alias(target.hash),
-        F.lit(reporting_date).alias("reporting_date"), F.lit(run_id).cast("bigint").alias("etl_run_id"),
-        F.lit(as_of).alias("etl_load_date")))
+    merged = settle(joined.select(added.alias("_added"), *[
+        F.when(change, values[c]).otherwise(dimension[c]).cast(dimension.schema[c].dataType).alias(c) if c in values else dimension[c]
+        for c in dimension.columns]), "merged")
+    fresh = assign_keys(merged.filter("_added").drop(target.key), list(target.business_keys), target.key, after)
+    return merged.filter("NOT _added").unionByName(fresh).select(*dimension.columns)
 
 
 def duplicate_current(dimension: DataFrame, target: Target) -> DataFrame:

@@ -1,7 +1,9 @@
 """Surrogate keys: gap-free numbers, given in parallel and from the data alone.
 
 A task that runs again after a lost executor gives the same keys, because nothing
-depends on partition numbers or arrival order.
+depends on partition numbers or arrival order.  Rows are shuffled once: they are written
+out with their place in their bucket, and the second read adds what the buckets before
+hold.
 """
 
 from __future__ import annotations
@@ -9,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimloom.sources.settle import settle
+
 #: Copies of one row that are numbered and written out together.
 COPIES_PER_TASK = 100_000
 #: Hash buckets of the numbering.  Part of the numbers' definition: another count gives other keys.
@@ -24,21 +28,21 @@ def assign_ranges(rows: DataFrame, by: list[str], first: str, after: Column | in
                   buckets: int = BUCKETS) -> DataFrame:
     """Give every row ``width`` consecutive numbers; ``first`` holds the lowest of them.
 
-    Rows are spread over hash buckets of ``by``, counted inside their bucket and shifted by
-    the buckets before it.  ``by`` must be unique; its hash then spreads evenly.  Only the
-    bucket totals pass through one task and get broadcast: ``buckets`` rows, whatever the
-    data size.
+    Rows are spread over hash buckets of ``by``, counted inside their bucket and written out once;
+    each is then shifted by the totals of the buckets before its own.  ``by`` must be unique; its
+    hash then spreads evenly.  Only the bucket totals, at most ``buckets`` rows, pass through one
+    task and get broadcast.
     """
     base = after if isinstance(after, Column) else F.lit(int(after)).cast("bigint")
     tagged = rows.withColumns({
         "_bucket": F.pmod(F.xxhash64(*by), F.lit(buckets)).cast("int"), "_width": width.cast("bigint")})
-    totals = tagged.groupBy("_bucket").agg(F.sum("_width").alias("_total"))
+    earlier = Window.partitionBy("_bucket").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    placed = settle(tagged.withColumn("_place", F.coalesce(F.sum("_width").over(earlier), F.lit(0))), "placed")
+    totals = placed.groupBy("_bucket").agg(F.max(F.col("_place") + F.col("_width")).alias("_total"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     shift = totals.select("_bucket", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_shift"))
-    earlier = Window.partitionBy("_bucket").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        tagged.withColumn("_place", F.coalesce(F.sum("_width").over(earlier), F.lit(0)))
-        .join(F.broadcast(shift), "_bucket")
+        placed.join(F.broadcast(shift), "_bucket")
         .withColumn(first, base + F.col("_shift") + F.col("_place") + 1)
         .drop("_bucket", "_width", "_place", "_shift")
     )

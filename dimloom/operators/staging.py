@@ -34,6 +34,16 @@ def mark_loaded(staged: DataFrame, action: str | None = None) -> DataFrame:
     return staged.withColumns(changes)
 
 
+def record_key(columns: list[str]) -> Column:
+    """The key of a row as text: ``NAME=value``, several joined by bars; a missing value is empty."""
+    return F.concat_ws("|", *[F.concat(F.lit(f"{c.upper()}="), F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in columns])
+
+
+def record_data(columns: list[str]) -> Column:
+    """The named columns of a row as one JSON text, missing values included."""
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 

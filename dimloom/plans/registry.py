@@ -82,6 +82,8 @@ class Mapping:
     current_flag: str = "Y"
     expired_flag: str = "N"
     is_active: str = "Y"
+    #: Hash buckets of the keys of a master table.  Fixed for the life of the table; about a gigabyte of rows each is a good size.
+    key_buckets: int = 16
 
 
 @dataclass(frozen=True)
@@ -116,6 +118,10 @@ class Registry:
     def keys(self, mapping_id: int) -> list[str]:
         return [c.target_column for c in self.columns_of(mapping_id) if c.is_business_key == "Y"]
 
+    def sources(self, mapping_id: int) -> dict[str, str]:
+        """Source column of each target column."""
+        return {target: source for source, target in self.pairs(mapping_id)}
+
     def attributes(self, mapping_id: int) -> list[str]:
         return [c.target_column for c in self.columns_of(mapping_id) if c.is_business_key != "Y"]
 

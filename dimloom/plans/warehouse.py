@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimloom.operators.keys import assign_keys
 from dimloom.operators.latest import latest_per_key
-from dimloom.plans.registry import Mapping
-from dimloom.sources.tables import BatchTable
+from dimloom.plans.registry import Mapping, Registry
+from dimloom.sources.tables import BatchTable, read_or_none, run_ids
 
 # Column types of the tables.
 TYPES = {
@@ -33,9 +34,10 @@ ERROR_LOG = ("err_id bigint, run_id bigint, entity_name string, target_table str
              "error_time timestamp_ntz, record_key string, record_data string")
 
 
-def schema_of(names: list[str], keys: tuple[str, ...] = ()) -> T.StructType:
+def schema_of(names: list[str], keys: tuple[str, ...] = (), sources: dict[str, str] | None = None) -> T.StructType:
+    """Types by column name; a renamed column has the type of its source column."""
     kinds = {k: "bigint" for k in keys} | TYPES
-    return T.StructType([T.StructField(n, T._parse_datatype_string(kinds.get(n, "string"))) for n in names])
+    return T.StructType([T.StructField(n, T._parse_datatype_string(kinds.get((sources or {}).get(n, n), "string"))) for n in names])
 
 
 @dataclass(frozen=True)
@@ -45,10 +47,8 @@ class Warehouse:
 
     # ---- control and logs: small tables that only grow by one file per entry
     def _log(self, name: str, ddl: str) -> DataFrame:
-        fs, path = BatchTable(self.spark, f"{self.root}/{name}", T.StructType())._fs_path(f"{self.root}/{name}")
-        if not fs.exists(path):
-            return self.spark.createDataFrame([], ddl)
-        return self.spark.read.schema(ddl).parquet(f"{self.root}/{name}")
+        found = read_or_none(self.spark, "parquet", f"{self.root}/{name}", ddl)
+        return self.spark.createDataFrame([], ddl) if found is None else found
 
     def _append(self, name: str, ddl: str, rows: list[dict]) -> None:
         if rows:
@@ -73,9 +73,10 @@ class Warehouse:
             "entity_id", "status", F.col("run_id").alias("last_run_id"))
         return newest.join(state, "entity_id", "left")
 
-    def committed(self) -> set[int]:
-        """Run ids whose output counts: one per finished load."""
-        return {r.run_id for r in self.control_log().select("run_id").distinct().toLocalIterator()}
+    def committed(self, *more: int) -> DataFrame:
+        """Run ids whose output counts: one per finished load, and ``more``."""
+        known = self.control_log().select("run_id")
+        return (known.union(run_ids(self.spark, *more)) if more else known).distinct()
 
     def commit(self, **row) -> None:
         """Publish a run.  One appended file makes all its tables visible at once."""
@@ -104,30 +105,52 @@ class Warehouse:
     def log_run(self, **row) -> None:
         self._append("run_log", RUN_LOG, [row])
 
+    def _last_error(self, run_id: int) -> int:
+        """Highest error id of a run; each run has 2^32 of its own."""
+        return self.error_log().filter(F.col("run_id") == run_id).agg(F.max("err_id")).first()[0] or run_id << 32
+
     def log_errors(self, rows: list[dict]) -> None:
         """Append errors of one run, numbered within it."""
         if rows:
-            known = self.error_log().filter(F.col("run_id") == rows[0]["run_id"]).count()
-            self._append("error_log", ERROR_LOG, [r | {"err_id": r["run_id"] * 100_000 + known + i} for i, r in enumerate(rows, 1)])
+            last = self._last_error(rows[0]["run_id"])
+            self._append("error_log", ERROR_LOG, [r | {"err_id": last + i} for i, r in enumerate(rows, 1)])
+
+    def log_records(self, rows: DataFrame, by: list[str], run_id: int) -> None:
+        """Append one error per row of ``rows``, which has the log's columns but the id; ``by`` tells its rows apart."""
+        numbered = assign_keys(rows, by, "err_id", self._last_error(run_id))
+        names = T._parse_datatype_string(ERROR_LOG).fieldNames()
+        numbered.select(*names).write.mode("append").parquet(f"{self.root}/error_log")
 
     # ---- data tables
+    def table_of(self, registry: Registry, mapping: Mapping) -> BatchTable:
+        """The table of a mapping, from its columns in the registry."""
+        n = mapping.mapping_id
+        return self.dimension(mapping, [*registry.keys(n), *registry.attributes(n)], registry.sources(n), registry.keys(n))
+
     def staging(self, mapping: Mapping, payload: list[str]) -> BatchTable:
+        """Staged rows, under the names of the source."""
         names = ["stg_run_id", "stg_status", "stg_action", "stg_reject_reason", "stg_record_hash",
                  *payload, "reporting_date", "stg_rule_id"]
         return BatchTable(self.spark, f"{self.root}/staging/{mapping.staging_table}", schema_of(names), only_grows=True)
 
-    def dimension(self, mapping: Mapping, payload: list[str]) -> BatchTable:
-        """Master dimensions keep closed versions apart, so a load neither reads nor rewrites them.
+    def dimension(self, mapping: Mapping, payload: list[str], sources: dict[str, str] | None = None, keys: list[str] | None = None) -> BatchTable:
+        """The table of a mapping; ``sources`` names the source column of each payload column, ``keys`` the business keys.
 
-        Monthly dimensions are partitioned by month, so a load touches the months it brings.
+        Master dimensions keep closed versions apart, so a load neither reads nor rewrites them, and
+        their rows in ``key_buckets`` hash buckets of the key, so a load rewrites the buckets of changed
+        keys alone.  Monthly dimensions are partitioned by month, so a load touches the months it brings.
         """
         audit = ["reporting_date", "etl_run_id", "etl_load_date"]
         key = mapping.surrogate_key_col
         path = f"{self.root}/{mapping.target_table}"
+        buckets = (tuple(keys or payload[:1]), mapping.key_buckets)
         if mapping.load_type == "SCD2":
             names = [key, *payload, mapping.start_col, mapping.end_col, mapping.hash_col, *audit, mapping.current_col]
-            return BatchTable(self.spark, path, schema_of(names, (key,)), (mapping.current_col,),
-                              grows=(mapping.current_col, str(mapping.expired_flag)))
-        parts = ("dt_period",) if "dt_period" in payload else ()
+            return BatchTable(self.spark, path, schema_of(names, (key,), sources), (mapping.current_col,),
+                              (mapping.current_col, str(mapping.expired_flag)), False, *buckets)
+        parts = tuple(p for p in payload if (sources or {}).get(p, p) == "dt_period")
         names = [key, *[p for p in payload if p not in parts], mapping.hash_col, *audit, *parts]
-        return BatchTable(self.spark, path, schema_of(names, (key,)), parts, only_grows=mapping.load_type == "APPEND")
+        schema = schema_of(names, (key,), sources)
+        if mapping.load_type == "SCD1" and not parts:
+            return BatchTable(self.spark, path, schema, (), None, False, *buckets)
+        return BatchTable(self.spark, path, schema, parts, only_grows=mapping.load_type == "APPEND")

@@ -33,6 +33,20 @@ def max_watermark(df: DataFrame, column: str, after: dt.date | str | None = None
     return rows.agg(F.max(column).alias("max_watermark"))
 
 
+def stored_max_watermark(spark: SparkSession, location: str, column: str, name: str = "max_watermark") -> DataFrame:
+    """One row: the greatest value of a Parquet column, from the files' statistics alone.
+
+    The scan itself returns the maximum (``PushedAggregation`` in its plan) and reads footers, no rows.
+    Spark does so for its newer file source and whole tables only, hence a session of its own and no
+    lower bound; dates and numbers have statistics it trusts, other types are read.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session.read.parquet(location).agg(F.max(column).alias(name))
+
+
 def lower_watermark(last: Column) -> Column:
     """Lower bound of the next window; an entity that never ran starts at the beginning."""
     return F.coalesce(last, F.lit(FIRST_WATERMARK))

@@ -1,5 +1,7 @@
 import dataclasses
 import datetime as dt
+import json
+import shutil
 from decimal import Decimal
 
 import pytest
@@ -44,8 +46,7 @@ def warehouse(spark, tmp_path):
 def dimension(warehouse, name, registry=None):
     registry = registry or default_registry()
     mapping = registry.mapping(name)
-    payload = registry.keys(mapping.mapping_id) + registry.attributes(mapping.mapping_id)
-    return warehouse.dimension(mapping, payload).read(warehouse.committed())
+    return warehouse.table_of(registry, mapping).read(warehouse.committed())
 
 
 def run(warehouse, source, day, registry=None, entity="STAFFING_SCHEDULE", **options):
@@ -95,9 +96,8 @@ def test_unchanged_rows_rewrite_nothing(spark, warehouse):
     again = ("s1", "e2", "p", D(2024, 1, 1), 20, D(2024, 2, 20))
     result = run(warehouse, staffing(spark, FIRST[1], again), D(2024, 3, 1))
     assert result.counts["dim_staffing_schedule"]["rows_skipped"] == 1
-    mapping = default_registry().mapping("dim_staffing_schedule")
-    payload = [*default_registry().keys(1), *default_registry().attributes(1)]
-    assert len(warehouse.dimension(mapping, payload)._directories()) == 1
+    table = warehouse.table_of(default_registry(), default_registry().mapping("dim_staffing_schedule"))
+    assert len(table.written(1)) == 1 and table.written(2) == []
 
 
 def failing_registry():
@@ -112,7 +112,7 @@ def test_fail_rule_publishes_nothing_and_can_be_run_again(spark, warehouse):
     with pytest.raises(ValidationFailed) as failure:
         run(warehouse, staffing(spark, *bad), D(2024, 2, 1), failing_registry())
     assert failure.value.code == -20032
-    assert warehouse.committed() == set() and dimension(warehouse, "dim_staffing_schedule").count() == 0
+    assert warehouse.committed().count() == 0 and dimension(warehouse, "dim_staffing_schedule").count() == 0
     assert {r.status for r in warehouse.run_log().collect()} >= {"FAILED"}
     # The first mapping had been written by the failed run; the next run starts clean.
     result = run(warehouse, staffing(spark, *FIRST[:3]), D(2024, 2, 1), failing_registry())
@@ -124,11 +124,85 @@ def test_fail_rule_publishes_nothing_and_can_be_run_again(spark, warehouse):
 def test_superseded_files_can_be_removed(spark, warehouse):
     run(warehouse, staffing(spark, *FIRST), D(2024, 2, 1))
     run(warehouse, staffing(spark, *FIRST, *LATER), D(2024, 3, 1))
-    registry = default_registry()
-    table = warehouse.dimension(registry.mapping("dim_staffing_schedule"), registry.keys(1) + registry.attributes(1))
+    table = warehouse.table_of(default_registry(), default_registry().mapping("dim_staffing_schedule"))
     before = sorted(table.read(warehouse.committed()).collect())
-    assert table.remove_superseded(warehouse.committed()) == 1
-    assert sorted(table.read(warehouse.committed()).collect()) == before
+    old = table.superseded(warehouse.committed())
+    assert len(old) == 1 and "etl_batch=1" in old[0]
+    shutil.rmtree(old[0].removeprefix("file:"))
+    assert sorted(table.read(warehouse.committed()).collect()) == before and table.superseded(warehouse.committed()) == []
+
+
+def test_one_changed_key_writes_one_bucket(spark, warehouse):
+    many = [(f"s{i}", "e1", "p", D(2024, 1, 1), 10, D(2024, 1, 10)) for i in range(60)]
+    run(warehouse, staffing(spark, *many), D(2024, 2, 1))
+    table = warehouse.table_of(default_registry(), default_registry().mapping("dim_staffing_schedule"))
+    assert len(table.written(1)) > 8
+    run(warehouse, staffing(spark, *many, ("s7", "e2", "p", D(2024, 1, 1), 10, D(2024, 2, 10))), D(2024, 3, 1))
+    written = table.written(2)
+    bucket = written[0].split("key_bucket=")[1].split("/")[0]
+    assert written == [f"is_current={c}/key_bucket={bucket}/etl_batch=2" for c in "NY"]
+    rows = dimension(warehouse, "dim_staffing_schedule").collect()
+    assert len(rows) == 61 and sorted(r.dim_ss_id for r in rows) == list(range(1, 62))
+    assert sorted((r.employee_id, r.is_current) for r in rows if r.schedule_id == "s7") == [("e1", "N"), ("e2", "Y")]
+    read = table.read(warehouse.committed(), {"is_current": ["Y"], "key_bucket": [int(bucket)]})
+    plan = read._jdf.queryExecution().toString()
+    assert "etl_batch=2" in plan and "etl_batch=1" not in plan
+
+
+def test_another_number_of_buckets_is_refused(spark, warehouse):
+    run(warehouse, staffing(spark, *FIRST), D(2024, 2, 1))
+    base = default_registry()
+    other = dataclasses.replace(base, mappings=tuple(dataclasses.replace(m, key_buckets=4) for m in base.mappings))
+    with pytest.raises(runner.RegistryError) as error:
+        run(warehouse, staffing(spark, *FIRST, *LATER), D(2024, 3, 1), other)
+    assert error.value.code == -20016
+
+
+def renaming_registry():
+    """Every kind of column under another name in the dimension: key, attribute, month."""
+    base = default_registry()
+    names = {"schedule_id": "schedule_code", "employee_id": "worker", "schedule_start_date": "starts_on", "dt_period": "month",
+             "schedule_type": "schedule_status", "schedule_status": "schedule_type"}
+    columns = tuple(dataclasses.replace(c, target_column=names.get(c.source_column, c.source_column)) for c in base.columns)
+    return dataclasses.replace(base, columns=columns)
+
+
+def test_columns_renamed_by_the_mapping(spark, warehouse):
+    plain = Warehouse(spark, f"{warehouse.root}-plain")
+    registry = renaming_registry()
+    for where, how in ((warehouse, registry), (plain, default_registry())):
+        run(where, staffing(spark, *FIRST), D(2024, 2, 1), how)
+        result = run(where, staffing(spark, *FIRST, *LATER), D(2024, 3, 1), how)
+        assert result.counts["dim_staffing_schedule"]["rows_skipped"] == 1
+    for name in ("dim_staffing_schedule", "dim_staffing_timeline"):
+        mine, other = dimension(warehouse, name, registry), dimension(plain, name)
+        pairs = {s: t for s, t in registry.pairs(registry.mapping(name).mapping_id)}
+        assert mine.columns != other.columns
+        back = mine.select(*[mine[pairs.get(c, c)].alias(c) for c in other.columns])
+        assert back.schema == other.schema and sorted(map(str, back.collect())) == sorted(map(str, other.collect()))
+    staged = warehouse.staging(registry.mapping("dim_staffing_schedule"), [s for s, _ in registry.pairs(1)]).read(warehouse.committed())
+    assert "schedule_id" in staged.columns and "schedule_code" not in staged.columns
+
+
+def test_rejected_rows_are_in_the_error_log(spark, warehouse):
+    run(warehouse, staffing(spark, *FIRST), D(2024, 2, 1))
+    rows = warehouse.error_log().filter("record_key IS NOT NULL").orderBy("err_id").collect()
+    assert [(r.target_table, r.error_code, r.record_key) for r in rows] == [
+        ("dim_staffing_schedule", "VAL_NOT_NULL", "SCHEDULE_ID=s3"), ("dim_staffing_timeline", "VAL_DERIVED_NULL", "SCHEDULE_ID=s3|DT_PERIOD=")]
+    data = json.loads(rows[0].record_data)
+    assert data["schedule_id"] == "s3" and data["project_id"] is None and data["reporting_date"] == "2024-01-15"
+    every = warehouse.error_log().collect()
+    assert len({r.err_id for r in every}) == len(every) == 4
+
+
+def test_step_ids_of_large_mapping_ids_differ(spark, warehouse):
+    base = default_registry()
+    moved = lambda rows: tuple(dataclasses.replace(r, mapping_id=r.mapping_id + 99) for r in rows)
+    registry = dataclasses.replace(base, mappings=moved(base.mappings), columns=moved(base.columns), rules=moved(base.rules))
+    run(warehouse, staffing(spark, *FIRST), D(2024, 2, 1), registry)
+    run(warehouse, staffing(spark, *FIRST, *LATER), D(2024, 3, 1), registry)
+    steps = [r.step_id for r in warehouse.step_log().collect()]
+    assert len(steps) == len(set(steps)) == 8
 
 
 def test_late_rows_need_a_look_back(spark, warehouse):

@@ -124,6 +124,18 @@ def test_scope_loads_show_in_the_run_report(spark, warehouse):
     assert [(r.entity_name, r.status) for r in found] == [("STAFFING_SCOPE", "SUCCESS")]
 
 
+def test_a_load_leaves_the_reference_of_other_portfolios_alone(spark, warehouse):
+    staffing(warehouse, feed(spark, AU, UK, portfolio="P2"), 1, portfolio="P2")
+    staffing(warehouse, feed(spark, AU), 2)
+    scope_runner.load_cost(warehouse, feed(spark, AU, ("AU-01", "V2", "x", "Company")), "P1", DAY, dt.datetime(2024, 2, 1, 3), "me")
+    table = scope_runner.reference_table(warehouse)
+    assert [table.written(n) for n in (1, 2, 3)] == [[f"portfolio_id={p}/etl_batch={n}"] for n, p in ((1, "P2"), (2, "P1"), (3, "P1"))]
+    keys = table.read(warehouse.committed()).collect()
+    assert sorted((r.gcs_key, r.portfolio_id, r.cost_flag) for r in keys) == [(1, "P2", 0), (2, "P2", 0), (3, "P1", 1), (4, "P1", 1)]
+    plan = table.read(warehouse.committed(), {"portfolio_id": ["P1"]})._jdf.queryExecution().toString()
+    assert "portfolio_id=P1" in plan and "portfolio_id=P2" not in plan
+
+
 def test_empty_codes_are_missing_codes(spark, warehouse):
     result = staffing(warehouse, feed(spark, AU, ("AU-01", "", "lost", "Company")), 1)
     assert result.unmatched_rows == 1 and valid(warehouse, "valid_staffing_schedule") == ["au"]

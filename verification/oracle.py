@@ -178,6 +178,45 @@ def _stamped(sql: str, source: str) -> str:
     return sql
 
 
+ERROR_OF = "CASE WHEN stg_rule_id IN (6, 13, 14) THEN 'VAL_DERIVED_NULL' WHEN stg_rule_id IN (1, 2, 7, 10, 11, 15, 16) THEN 'VAL_NOT_NULL' ELSE 'VAL_CHECK_FAILED' END"
+
+
+def _stopped(ctes: dict[str, str]) -> dict[str, str]:
+    """The second load meets rows without a project, which stops it."""
+    body = """SELECT 'ETL-20030' AS error_code,
+      '-20030: ' || count(*) FILTER (stg_rule_id = 1) || ' row(s) break rule PROJECT_ID_REQUIRED, which stops the load' AS error_message,
+      (SELECT count(*) FROM state) AS dimension_rows, CAST(1 AS BIGINT) AS newest_run,
+      count(*) FILTER (stg_status = 'REJECTED') AS captured_rows, CAST(1 AS BIGINT) AS committed_run FROM whole"""
+    return {"run_fail_rule": _with(body, **{k: ctes[k] for k in ("raw_before", "checked_before", "state", "raw_after")},
+                                   whole=_checked("schedule", "raw_after"))}
+
+
+def _error_records(late: tuple[str, str]) -> str:
+    ctes, parts = {}, []
+    for run, window in ((1, BEFORE), (2, late)):
+        for kind, target in (("cost", "dim_cost"), ("cost_timeline", "dim_timeline_cost")):
+            ctes[f"raw_{kind}_{run}"] = _staged(kind, run, *window)
+            key = "'COST_ID=' || cost_id" + (" || '|DT_PERIOD=' || coalesce(dt_period, '')" if kind == "cost_timeline" else "")
+            project = "project_id" if kind == "cost" else "CAST(NULL AS VARCHAR)"
+            parts.append(f"""SELECT CAST({run} AS BIGINT) AS run_id, 'COST' AS entity_name, '{target}' AS target_table, {ERROR_OF} AS error_code,
+              trim(stg_reject_reason) AS error_message, {key} AS record_key, {project} AS project_id,
+              strftime(reporting_date, '%Y-%m-%d') AS day FROM ({_checked(kind, f"raw_{kind}_{run}")}) WHERE stg_status = 'REJECTED'""")
+    return _with(" UNION ALL ".join(parts), **ctes)
+
+
+def _all_log() -> str:
+    """Runs 1 and 2: staffing fails, costs load; runs 3 and 4: staffing loads, costs bring nothing."""
+    none = ", ".join(f"CAST(NULL AS BIGINT) AS {c}" for c in ("rows_read", "rows_inserted", "rows_updated", "rows_rejected"))
+    rows = [f"SELECT CAST({run} AS BIGINT) AS run_id, CAST({entity} AS BIGINT) AS entity_id, CAST({mapping} AS BIGINT) AS mapping_id, '{status}' AS status, {none}"
+            for run, entity, mapping, status in ((1, 1, 1, "FAILED"), (1, 1, "NULL", "FAILED"), (2, 2, "NULL", "SUCCESS"), (3, 1, "NULL", "SUCCESS"), (4, 2, "NULL", "SUCCESS"))]
+    ctes = {}
+    for run, entity, mapping, kind in ((2, 2, 3, "cost"), (2, 2, 4, "cost_timeline"), (3, 1, 1, "schedule"), (3, 1, 2, "timeline")):
+        ctes[f"raw_{kind}"] = _staged(kind, run, *ALL)
+        rows.append(f"""SELECT CAST({run} AS BIGINT), CAST({entity} AS BIGINT), CAST({mapping} AS BIGINT), 'SUCCESS', count(*),
+          count(*) FILTER (stg_status = 'PENDING'), CAST(0 AS BIGINT), count(*) FILTER (stg_status = 'REJECTED') FROM ({_checked(kind, f"raw_{kind}")})""")
+    return _with(" UNION ALL ".join(rows), **ctes)
+
+
 def _runs() -> dict[str, str]:
     """Two whole loads of each entity."""
     late = ("1999-06-30", "2001-12-31")
@@ -195,7 +234,10 @@ def _runs() -> dict[str, str]:
             "acted": _actions("staged", "state", key)}
         body = f"{_expired('state', key, columns)} UNION ALL BY NAME {_inserted(columns)}"
         bodies[name] = _stamped(_with(body, **ctes), source)
+        if kind == "cost":
+            found["run_renamed_cost"] = f"SELECT * EXCLUDE (cost_id, project_id), cost_id AS record_id, project_id AS project_code FROM ({bodies[name]})"
         if kind == "schedule":
+            found |= _stopped(ctes)
             found["run_lineage"] = _with(f"""SELECT schedule_id, etl_run_id, 'SUCCESS' AS etl_run_status FROM ({body})
               WHERE is_current = 'Y'""", **ctes)
     for name, kind, keys, columns, source in (
@@ -215,6 +257,8 @@ def _runs() -> dict[str, str]:
     found["run_entity_keys"] = " UNION ALL ".join(
         f"SELECT '{name}' AS dimension, CAST(1 AS BIGINT) AS lowest, count(*) AS highest, count(*) AS rows, count(*) AS distinct_keys "
         f"FROM ({body})" for name, body in bodies.items())
+    found["run_error_records"] = _error_records(late)
+    found["run_all_log"] = _all_log()
     found["run_control"] = _with("""SELECT 'COST' AS entity_name, 'SUCCESS' AS status, max(reporting_date) AS last_watermark,
       CAST(2 AS BIGINT) AS last_run_id FROM cost_src WHERE reporting_date <= DATE '2001-12-31'""")
     return found
@@ -305,8 +349,9 @@ def _cost_rows(source: str, portfolio: str, day: str, moment: str, user: str) ->
 
 def _reload_ctes(build) -> dict[str, str]:
     old = "SELECT * FROM coded_src WHERE reporting_date > DATE '1900-01-01' AND reporting_date <= DATE '1999-06-30'"
-    states = [("P1", "1998-01-31"), ("P2", "1998-01-31"), ("P1", "1997-12-31")]
+    states = [("P1", "1998-01-31"), ("P2", "1998-01-31"), ("P0", "1998-01-31"), ("P1", "1997-12-31")]
     ctes = {"feed": NOW_FEED, "scope": NOW_SCOPE, "keyed": _keyed("scope", "P1"), "old_feed": old,
+            "old_p0": f"SELECT * FROM ({_keyed('old_feed', 'P0')}) WHERE portfolio_id = 'P0'",
             "old_p1": f"SELECT * FROM ({_keyed('old_feed', 'P1')}) WHERE portfolio_id = 'P1'",
             "old_p2": f"SELECT * FROM ({_keyed('old_feed', 'P2')}) WHERE portfolio_id = 'P2'"}
     ctes["before"] = " UNION ALL ".join(
@@ -327,6 +372,44 @@ MATCHED = SCOPE + """ AND EXISTS (SELECT 1 FROM keyed k WHERE k.gcs_key = before
   AND k.employee_id = before.employee_id AND k.position_number = before.position_number)"""
 
 
+def _scope_runs() -> dict[str, str]:
+    """Two scope loads of each portfolio: the whole scope, one center, and rows that come again are replaced.
+
+    The loads number combinations of codes themselves, so the codes stand for the key here.
+    """
+    code = "concat_ws('|', portfolio_id, " + ", ".join(src for src, _ in CODES) + ")"
+    whole = " AND ".join(f"{c} IS NOT NULL" for c in FULL_CODES)
+    keyed = f"SELECT *, {code} AS gcs_key FROM coded_src WHERE {whole} AND reporting_date > DATE '{{}}' AND reporting_date <= DATE '{{}}'"
+    ctes = {"old_keyed": keyed.format(*BEFORE), "new_keyed": keyed.format(*AFTER)}
+    for p in ("P0", "P1", "P2"):
+        ctes[f"old_{p.lower()}"] = f"SELECT * FROM old_keyed WHERE portfolio_id = '{p}'"
+        ctes[f"new_{p.lower()}"] = f"SELECT * FROM new_keyed WHERE portfolio_id = '{p}'" + (" AND substr(execution_center, 1, 2) = 'AU'" if p == "P2" else "")
+    again = """EXISTS (SELECT 1 FROM new_p0 k WHERE k.gcs_key = before.gcs_key AND k.employee_id = before.employee_id
+      AND k.position_number = before.position_number)"""
+    hit = f"(project_id = 'P1' OR (project_id = 'P2' AND split_part(gcs_key, '|', 4) = 'AU') OR (project_id = 'P0' AND {again}))"
+    found, parts = {}, []
+    for name, table, build, hits in (
+            ("run_scope_schedule", "valid_staffing_schedule", _schedule_rows, hit),
+            ("run_scope_timeline", "valid_staffing_timeline", _timeline_rows, hit), ("run_scope_cost", "valid_cost", _cost_rows, "true")):
+        mine = dict(ctes)
+        if name == "run_scope_cost":
+            mine["new_p2"] = "SELECT * FROM new_keyed WHERE portfolio_id = 'P2'"
+        for state, moment, user in (("before", "1998-01-31 06:00:00", "before"), ("added", "1998-02-01 06:00:00", "load")):
+            mine[state] = " UNION ALL ".join(f"SELECT * FROM ({build(f'{w}_{p.lower()}', p, '1998-01-31', moment, user)})"
+                                             for w in (("old",) if state == "before" else ("new",)) for p in ("P0", "P1", "P2"))
+        body = f"SELECT * EXCLUDE (gcs_key) FROM ({_reloaded(hits)})"
+        found[name] = _with(body, **mine)
+        parts.append(f"""SELECT '{table}' AS tbl, CAST(1 AS BIGINT) AS lowest, count(*) AS highest, count(*) AS rows, count(*) AS distinct_keys FROM ({found[name]})""")
+    # Combinations with missing codes are in the reference too; the second load of P2 brings one center only.
+    both = f"""SELECT DISTINCT portfolio_id, {PREFIXES} FROM coded_src WHERE portfolio_id IN ('P0', 'P1', 'P2') AND
+      (reporting_date <= DATE '1999-06-30' OR (reporting_date > DATE '1997-06-30' AND reporting_date <= DATE '2001-12-31'
+        AND (portfolio_id <> 'P2' OR substr(execution_center, 1, 2) = 'AU')))"""
+    parts.append("SELECT 'coding_reference' AS tbl, CAST(1 AS BIGINT) AS lowest, count(*) AS highest, count(*) AS rows, count(*) AS distinct_keys "
+                 f"FROM ({_with(both)})")
+    found["run_scope_keys"] = " UNION ALL ".join(parts)
+    return found
+
+
 def _prefixed(ctes: dict[str, str], prefix: str) -> dict[str, str]:
     """The same CTEs under other names, so two sets fit in one query."""
     import re
@@ -357,6 +440,7 @@ def oracle_sql() -> dict[str, str]:
     o["incremental_window"] = _with("""SELECT schedule_id, employee_id, reporting_date, src_seq FROM staffing_src
       WHERE reporting_date > DATE '1997-06-30' AND reporting_date <= DATE '2001-12-31'""")
     o["max_source_watermark"] = _with("SELECT max(reporting_date) AS max_watermark FROM staffing_src")
+    o["max_stored_watermark"] = "SELECT max(l_orderkey) AS max_watermark FROM lineitem"
     o["watermark_state"] = _with("""SELECT entity_id, coalesce(last_watermark, DATE '1900-01-01') AS from_watermark,
       top AS to_watermark, CASE WHEN top > coalesce(last_watermark, DATE '1900-01-01') THEN top ELSE last_watermark END
       AS next_watermark FROM control_src, (SELECT max(reporting_date) AS top FROM cost_src)""")
@@ -419,7 +503,10 @@ def oracle_sql() -> dict[str, str]:
         FROM checked_{kind} WHERE stg_status = 'REJECTED'""" for name, kind, key in (
             ("stg_staffing_timeline", "timeline", "schedule_id"), ("stg_timeline_cost", "cost_timeline", "cost_id"))),
         **everything)
-    o["purge_pending"] = _with(f"SELECT cost_id, {TAGS} FROM ({_checked('cost', 'raw')}) WHERE stg_status <> 'PENDING'", **cost)
+    o["purge_pending"] = _with(" UNION ALL ".join(
+        f"SELECT '{name}' AS staging_table, {key} AS record_key, {TAGS} FROM checked_{kind} WHERE stg_status <> 'PENDING'" for name, kind, key in (
+            ("stg_staffing_schedule", "schedule", "schedule_id"), ("stg_staffing_timeline", "timeline", "schedule_id"),
+            ("stg_cost", "cost", "cost_id"), ("stg_timeline_cost", "cost_timeline", "cost_id"))), **everything)
     summary = dict(everything, staged_before=_staged("schedule", 1, *BEFORE), state=STATE,
                    acted=_actions("checked_schedule", "state", "schedule_id"))
     loaded = "CASE stg_status WHEN 'PENDING' THEN 'LOADED' ELSE stg_status END"
@@ -484,6 +571,7 @@ def oracle_sql() -> dict[str, str]:
       count(*) AS duplicate_count FROM staffing_src WHERE schedule_status = 'Open' GROUP BY schedule_id HAVING count(*) > 1
       UNION ALL SELECT 'dim_cost', cost_id, count(*) FROM cost_src WHERE currency = 'USD' GROUP BY cost_id HAVING count(*) > 1""")
     o |= _runs()
+    o |= _scope_runs()
     whole = dict(SCD, raw_after=SCD["staged"],
                  staged=f"SELECT * FROM ({_checked('schedule', 'raw_after')}) WHERE stg_status = 'PENDING'")
     whole = {k: whole[k] for k in ("staged_before", "state", "raw_after", "staged", "acted")}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,9 @@ from dimloom.operators.latest import latest_per_key
 from dimloom.operators.project import mapped_projection
 from dimloom.plans import reports, scoped, transforms
 from dimloom.plans.registry import Rule, default_registry, registry_frames
-from dimloom.plans.runner import run_entity
+from dimloom.plans.runner import run_all, run_entity
+from dimloom.plans.scope_runner import load_cost, load_staffing, reference_table
+from dimloom.plans.scope_runner import table as scope_table
 from dimloom.plans.warehouse import Warehouse
 from dimloom.sources import scan
 from dimloom.sources.settle import settle, shared_folder
@@ -29,6 +32,7 @@ CLOSED_BY = dt.date(1996, 6, 30)
 FIRST_DAY, LOAD_DAY = dt.date(1999, 6, 30), dt.date(2001, 12, 31)
 CLOCK = dt.datetime(2024, 1, 30, 12, 0, 0)
 PORTFOLIO, OTHER, CENTER = "P1", "P2", "AU-01"
+OTHERS = (OTHER, "P0")
 DAY, OLD_DAY = dt.date(1998, 1, 31), dt.date(1997, 12, 31)
 THEN, NOW = dt.datetime(1998, 1, 31, 6, 0, 0), dt.datetime(1998, 2, 1, 6, 0, 0)
 
@@ -60,6 +64,12 @@ def max_source_watermark(spark, sf):
     return scan.max_watermark(fixture(spark, sf, "staffing_src"), "reporting_date")
 
 
+@register
+def max_stored_watermark(spark, sf):
+    """A numeric watermark, from the statistics of the files."""
+    return scan.stored_max_watermark(spark, f"{sf}/lineitem.parquet", "l_orderkey")
+
+
 @register
 def watermark_state(spark, sf):
     control = fixture(spark, sf, "control_src")
@@ -237,9 +247,15 @@ def rejected_rows(spark, sf):
         "stg_timeline_cost": (_validated(spark, sf, "stg_timeline_cost"), "cost_id")})
 
 
+STAGING_KEYS = {"stg_staffing_schedule": "schedule_id", "stg_staffing_timeline": "schedule_id", "stg_cost": "cost_id", "stg_timeline_cost": "cost_id"}
+
+
 @register
 def purge_pending(spark, sf):
-    return staging.purge_pending(_validated(spark, sf, "stg_cost")).select("cost_id", *TAGS)
+    """All four staging tables without what is still pending."""
+    return staging.union_all([
+        staging.purge_pending(_validated(spark, sf, name)).select(F.lit(name).alias("staging_table"), F.col(key).alias("record_key"), *TAGS)
+        for name, key in STAGING_KEYS.items()])
 
 
 @register
@@ -299,8 +315,9 @@ def _load(spark, sf, rules: list[Rule] = ()) -> tuple[DataFrame, DataFrame]:
 
 @register
 def scd2_classify(spark, sf):
-    return history.classify(_incoming(spark, sf), _schedules(spark, sf), SCHEDULE).select(
-        "schedule_id", "stg_action", "stg_record_hash")
+    """Against the written state, which is reduced to the staged keys where it lies."""
+    state, rows = settle(_schedules(spark, sf), "state"), settle(_incoming(spark, sf), "staged")
+    return history.classify(rows, state, SCHEDULE, written=True).select("schedule_id", "stg_action", "stg_record_hash")
 
 
 @register
@@ -466,8 +483,8 @@ def _loaded(spark, sf, entity: str) -> Warehouse:
 
 
 def _dimension(warehouse: Warehouse, name: str) -> tuple[DataFrame, history.Target]:
-    target = history.Target.of(REGISTRY, REGISTRY.mapping(name))
-    return warehouse.dimension(REGISTRY.mapping(name), target.payload).read(warehouse.committed()), target
+    mapping = REGISTRY.mapping(name)
+    return warehouse.table_of(REGISTRY, mapping).read(warehouse.committed()), history.Target.of(REGISTRY, mapping)
 
 
 def _loaded_dimension(spark, sf, entity: str, name: str) -> DataFrame:
@@ -524,6 +541,125 @@ def run_control(spark, sf):
         "entity_name", "status", F.to_date("last_watermark").alias("last_watermark"), "last_run_id")
 
 
+@register
+def run_error_records(spark, sf):
+    """Rejected rows in the loader's own error table: key, rule and a column out of the captured row."""
+    errors = _loaded(spark, sf, "COST").error_log().filter(F.col("record_key").isNotNull())
+    return errors.select("run_id", "entity_name", "target_table", "error_code", "error_message", "record_key",
+                         F.get_json_object("record_data", "$.project_id").alias("project_id"), F.get_json_object("record_data", "$.reporting_date").alias("day"))
+
+
+def _new_warehouse(spark, source: DataFrame) -> Warehouse:
+    return Warehouse(spark, f"{shared_folder(source)}/warehouse-{uuid.uuid4().hex}")
+
+
+RENAMED = {"cost_id": "record_id", "project_id": "project_code", "dt_period": "month"}
+
+
+@register
+def run_renamed_cost(spark, sf):
+    """Both loads of the costs under a mapping that renames the key and an attribute."""
+    registry = replace(REGISTRY, columns=tuple(replace(c, target_column=RENAMED.get(c.source_column, c.source_column)) for c in REGISTRY.columns))
+    source = fixture(spark, sf, "cost_src")
+    warehouse = _new_warehouse(spark, source)
+    for last, now in ((FIRST_DAY, THEN), (LOAD_DAY, NOW)):
+        run_entity(warehouse, registry, "COST", source.filter(F.col("reporting_date") <= F.lit(last)), last, now)
+    return warehouse.table_of(registry, registry.mapping("dim_cost")).read(warehouse.committed()).drop("dim_cost_id")
+
+
+@register
+def run_fail_rule(spark, sf):
+    """A second load that a FAIL rule stops: its error, what it captured, and the dimension as the first load left it."""
+    source = fixture(spark, sf, "staffing_src")
+    warehouse = _new_warehouse(spark, source)
+    run_entity(warehouse, REGISTRY, "STAFFING_SCHEDULE", source.filter(F.col("reporting_date") <= F.lit(FIRST_DAY)), FIRST_DAY, THEN)
+    strict = replace(REGISTRY, rules=tuple(replace(r, error_action="FAIL") if r.rule_id == 1 else r for r in REGISTRY.rules))
+    try:
+        run_entity(warehouse, strict, "STAFFING_SCHEDULE", source, LOAD_DAY, NOW)
+    except validate.ValidationFailed:
+        pass
+    rows, _ = _dimension(warehouse, "dim_staffing_schedule")
+    second = warehouse.error_log().filter("run_id = 2")
+    stopped = second.filter("error_code LIKE 'ETL%'").select("error_code", "error_message")
+    return stopped.select(
+        "*", rows.agg(F.count(F.lit(1))).scalar().alias("dimension_rows"), rows.agg(F.max("etl_run_id")).scalar().alias("newest_run"),
+        second.filter("record_key IS NOT NULL").agg(F.count(F.lit(1))).scalar().alias("captured_rows"),
+        warehouse.committed().agg(F.max("run_id")).scalar().alias("committed_run"))
+
+
+@register
+def run_all_log(spark, sf):
+    """Two rounds of all entities: first the staffing feed lacks a column, then it is whole and the costs bring no news."""
+    staffing, costs = fixture(spark, sf, "staffing_src"), fixture(spark, sf, "cost_src")
+    warehouse = _new_warehouse(spark, costs)
+    for feed, now in ((staffing.drop("employee_id"), THEN), (staffing, NOW)):
+        run_all(warehouse, REGISTRY, {"STAFFING_SCHEDULE": feed, "COST": costs}, LOAD_DAY, now)
+    return warehouse.run_log().select("run_id", "entity_id", "mapping_id", "status", "rows_read", "rows_inserted", "rows_updated", "rows_rejected")
+
+
+_SCOPES: dict[tuple[str, str, str], Warehouse] = {}
+SCOPE_MODES = {PORTFOLIO: (None, "REPLACE_ALL"), OTHER: (CENTER, "REPLACE_ALL"), "P0": (None, "ADD_UPDATE")}
+
+
+def _scope_loads(spark, sf, kind: str) -> Warehouse:
+    """Scope loads of all portfolios: the feed of the first window, then that of the second, each portfolio in a mode of its own."""
+    known = spark.sparkContext.applicationId, sf, kind
+    if known in _SCOPES:
+        return _SCOPES[known]
+    feeds = [scan.incremental_window(fixture(spark, sf, "coded_src"), "reporting_date", *window).withColumn("reporting_date", F.lit(DAY))
+             for window in ((FIRST, BEFORE_END), (AFTER_START, AFTER_END))]
+    warehouse = _new_warehouse(spark, feeds[0])
+    for feed, now, user in zip(feeds, (THEN, NOW), ("before", "load")):
+        for portfolio, (center, mode) in SCOPE_MODES.items():
+            if kind == "COST":
+                load_cost(warehouse, feed, portfolio, DAY, now, user)
+            else:
+                load_staffing(warehouse, feed, portfolio, DAY, center if now == NOW else None, now, mode, user)
+    _SCOPES[known] = warehouse
+    return warehouse
+
+
+def _scope_rows(spark, sf, name: str) -> DataFrame:
+    warehouse = _scope_loads(spark, sf, "COST" if name == "valid_cost" else "STAFFING")
+    return scope_table(warehouse, name).read(warehouse.committed())
+
+
+SCOPE_STAMPS = ["dt_reporting", "project_id", "is_valid", "dt_created", "created_by", "dt_modified", "modified_by"]
+
+
+@register
+def run_scope_schedule(spark, sf):
+    return _scope_rows(spark, sf, "valid_staffing_schedule").select(
+        *SCOPE_STAMPS, "business_unit_id", "operating_center_id", "bill_type_id", "wbs1_id", "wbs2_id", "cost_type_id", "cbs_id",
+        "sts_global_structure", "position_number", "employee_id", "dt_plan_start", "dt_plan_end", "dt_forecast_start", "dt_forecast_end",
+        "hours_per_week", "is_current")
+
+
+@register
+def run_scope_timeline(spark, sf):
+    return _scope_rows(spark, sf, "valid_staffing_timeline").select(
+        *SCOPE_STAMPS, "position_number", "employee_id", "dt_period", "plan_hours", "forecast_hours", "is_current")
+
+
+@register
+def run_scope_cost(spark, sf):
+    return _scope_rows(spark, sf, "valid_cost").select(
+        *SCOPE_STAMPS, "business_unit_id", "operating_center_id", "bill_type_id", "wbs1_id", "wbs2_id", "cost_type_id", "cbs_id",
+        "sts_global_structure", "cost_basis", "class", "hours", "cost", "dt_forecast_start", "dt_forecast_end", "data_source")
+
+
+@register
+def run_scope_keys(spark, sf):
+    """Surrogate keys of the three tables and of the coding reference after all loads."""
+    tables = {"valid_staffing_schedule": "staffing_schedule_key", "valid_staffing_timeline": "staffing_timeline_key", "valid_cost": "cost_key"}
+    frames = {name: (_scope_rows(spark, sf, name), key) for name, key in tables.items()}
+    staffing = _scope_loads(spark, sf, "STAFFING")
+    frames["coding_reference"] = reference_table(staffing).read(staffing.committed()), "gcs_key"
+    return staging.union_all([
+        rows.agg(F.min(key).alias("lowest"), F.max(key).alias("highest"), F.count(key).alias("rows"), F.count_distinct(key).alias("distinct_keys"))
+        .withColumn("tbl", F.lit(name)) for name, (rows, key) in frames.items()])
+
+
 # ---------------------------------------------------------------- coding reference
 
 def _reference(spark, sf) -> DataFrame:
@@ -597,37 +733,42 @@ def _source_now(spark, sf) -> DataFrame:
     return rows.withColumn("reporting_date", F.lit(DAY))
 
 
-def _keyed_now(spark, sf) -> DataFrame:
+def _keyed_now(spark, sf, reference: DataFrame | None = None) -> DataFrame:
     source = scan.scope_filter(_source_now(spark, sf), PORTFOLIO, DAY)
-    return coding.lookup_key(source, _reference(spark, sf), PORTFOLIO)
+    return coding.lookup_key(source, _reference(spark, sf) if reference is None else reference, PORTFOLIO)
 
 
-def _before(spark, sf, build) -> DataFrame:
-    """What earlier loads wrote: two portfolios on the day, one of them on an older day too."""
+def _before(spark, sf, build, reference: DataFrame | None = None) -> DataFrame:
+    """What earlier loads wrote: all portfolios on the day, one of them on an older day too."""
     rows = scan.incremental_window(fixture(spark, sf, "coded_src"), "reporting_date", FIRST, BEFORE_END)
-    reference = _reference(spark, sf)
-    own, other = (build(coding.lookup_key(rows.filter(F.col("portfolio_id") == p), reference, p), p, DAY, THEN, "before")
-                  for p in (PORTFOLIO, OTHER))
+    known = _reference(spark, sf) if reference is None else reference
+    own, *others = (build(coding.lookup_key(rows.filter(F.col("portfolio_id") == p), known, p), p, DAY, THEN, "before")
+                    for p in (PORTFOLIO, *OTHERS))
     days = F.explode(F.array(F.lit(DAY), F.lit(OLD_DAY)))
-    return own.withColumn("dt_reporting", days).unionByName(other)
+    return staging.union_all([own.withColumn("dt_reporting", days), *others])
 
 
-def _schedule_reload(spark, sf, mode: str) -> DataFrame:
-    keyed = _keyed_now(spark, sf) if mode == "REPLACE_ALL" else settle(_keyed_now(spark, sf), "keyed")
-    old = scoped.reload_schedule(_before(spark, sf, scoped.schedule_rows), keyed, PORTFOLIO, DAY, CENTER, mode,
+def _schedule_reload(spark, sf, mode: str, reference: DataFrame | None = None) -> DataFrame:
+    known = _reference(spark, sf) if reference is None else reference
+    keyed = _keyed_now(spark, sf, known)
+    keyed = keyed if mode == "REPLACE_ALL" else settle(keyed, "keyed")
+    old = scoped.reload_schedule(_before(spark, sf, scoped.schedule_rows, known), keyed, PORTFOLIO, DAY, CENTER, mode,
                                  NOW, "load")
     return old.unionByName(scoped.schedule_rows(keyed, PORTFOLIO, DAY, NOW, "load"))
 
 
-def _timeline_reload(spark, sf, mode: str) -> DataFrame:
-    keyed = _keyed_now(spark, sf) if mode == "REPLACE_ALL" else settle(_keyed_now(spark, sf), "keyed")
-    old = scoped.reload_timeline(_before(spark, sf, scoped.timeline_rows), keyed, PORTFOLIO, DAY, mode, NOW, "load")
+def _timeline_reload(spark, sf, mode: str, reference: DataFrame | None = None) -> DataFrame:
+    known = _reference(spark, sf) if reference is None else reference
+    keyed = _keyed_now(spark, sf, known)
+    keyed = keyed if mode == "REPLACE_ALL" else settle(keyed, "keyed")
+    old = scoped.reload_timeline(_before(spark, sf, scoped.timeline_rows, known), keyed, PORTFOLIO, DAY, mode, NOW, "load")
     return old.unionByName(scoped.timeline_rows(keyed, PORTFOLIO, DAY, NOW, "load"))
 
 
-def _cost_reload(spark, sf) -> DataFrame:
-    old = scoped.reload_cost(_before(spark, sf, scoped.cost_rows), PORTFOLIO, DAY, NOW, "load")
-    return old.unionByName(scoped.cost_rows(_keyed_now(spark, sf), PORTFOLIO, DAY, NOW, "load"))
+def _cost_reload(spark, sf, reference: DataFrame | None = None) -> DataFrame:
+    known = _reference(spark, sf) if reference is None else reference
+    old = scoped.reload_cost(_before(spark, sf, scoped.cost_rows, known), PORTFOLIO, DAY, NOW, "load")
+    return old.unionByName(scoped.cost_rows(_keyed_now(spark, sf, known), PORTFOLIO, DAY, NOW, "load"))
 
 
 @register
@@ -668,10 +809,11 @@ def timeline_key_ranges(spark, sf):
 
 @register
 def validity_counts(spark, sf):
+    known = _reference(spark, sf)
     return reports.validity_counts({
-        "dim_staffing_schedule": _schedule_reload(spark, sf, "REPLACE_ALL"),
-        "dim_staffing_timeline": _timeline_reload(spark, sf, "REPLACE_ALL"),
-        "dim_cost": _cost_reload(spark, sf)})
+        "dim_staffing_schedule": _schedule_reload(spark, sf, "REPLACE_ALL", known),
+        "dim_staffing_timeline": _timeline_reload(spark, sf, "REPLACE_ALL", known),
+        "dim_cost": _cost_reload(spark, sf, known)})
 
 
 @register

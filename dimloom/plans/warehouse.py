@@ -5,9 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from dimloom.operators.keys import assign_keys
 from dimloom.operators.latest import latest_per_key
@@ -53,8 +55,9 @@ class Warehouse:
     def _append(self, name: str, ddl: str, rows: list[dict]) -> None:
         if rows:
             columns = T._parse_datatype_string(ddl)
-            data = [tuple(r.get(c) for c in columns.fieldNames()) for r in rows]
-            self.spark.createDataFrame(data, columns).coalesce(1).write.mode("append").parquet(f"{self.root}/{name}")
+            data = [{c: list(v.items()) if isinstance(v := r.get(c), dict) else v for c in columns.fieldNames()} for r in rows]
+            table = pa.Table.from_pylist(data, to_arrow_schema(columns))
+            self.spark.createDataFrame(table, columns).coalesce(1).write.mode("append").parquet(f"{self.root}/{name}")
 
     def control_log(self) -> DataFrame:
         return self._log("control", CONTROL)

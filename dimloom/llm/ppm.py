@@ -36,6 +36,8 @@ from dimloom.llm.common import cut
 ORDER = 5
 #: Entries of a shard of the trie over all orders, words of the head, positions handled at once, and context bytes that name a shard.
 ENTRIES, HEAD, STEP, SPLIT = 3_000_000, 250_000, 1 << 20, 3
+#: Words that a counting task holds before it hands them on.
+WORDS_HELD = 100_000
 _U = np.uint64
 
 
@@ -75,10 +77,16 @@ def count_grams(train: DataFrame, order: int = ORDER) -> list[DataFrame]:
             keys.append(key)
             sums.append(n)
             held += len(key)
-            if held > 4 * STEP:
+            if held > STEP:
                 key, n = merged()
                 keys[:], sums[:], held = [key], [n], 0  # merged ones stand outside the count, so merging stays rare
 
+        def handed() -> Iterator[pd.DataFrame]:
+            key, n = merged()
+            keys[:], sums[:] = [], []
+            for i in range(0, len(key), STEP):
+                yield pd.DataFrame({"key": key[i:i + STEP].view(np.int64), "n": n[i:i + STEP]})
+
         for batch in batches:
             part, size = [], 0
             for text in batch["text"]:
@@ -87,12 +95,13 @@ def count_grams(train: DataFrame, order: int = ORDER) -> list[DataFrame]:
                 if size >= STEP:
                     take(part)
                     part, size = [], 0
+                    if len(keys[0]) > 2 * STEP:  # what a task holds is bounded; Spark adds up the rest
+                        yield from handed()
+                        held = 0
             if part:
                 take(part)
         if keys:
-            key, n = merged()
-            for i in range(0, len(key), STEP):
-                yield pd.DataFrame({"key": key[i:i + STEP].view(np.int64), "n": n[i:i + STEP]})
+            yield from handed()
 
     tables = [cut(train.select("text").mapInPandas(count, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")))]
     for k in range(order, 0, -1):
@@ -113,12 +122,13 @@ def shards_of(tables: list[DataFrame], entries: int = ENTRIES) -> list[tuple[int
     sizes = reduce(DataFrame.union, [t.select(_end().alias("end")) for t in tables[SPLIT:]]).groupBy("end").count().toArrow()  # 2 ** 24 rows at most
     end, n = sizes["end"].to_numpy().astype(np.int64), sizes["count"].to_numpy().astype(np.int64)
     at = np.argsort(end)
-    room, lows, held = max(entries - shared, entries // 2, 1), [0], 0
-    for e, m in zip(end[at].tolist(), n[at].tolist()):
-        if held and held + m > room:
-            lows.append(e)
-            held = 0
-        held += m
+    end, sums, room = end[at], np.cumsum(n[at]), max(entries - shared, entries // 2, 1)
+    lows, first = [0], 0
+    while True:
+        first = max(int(np.searchsorted(sums, (sums[first - 1] if first else 0) + room, "right")), first + 1)
+        if first >= len(end):
+            break
+        lows.append(int(end[first]))
     return list(zip(lows, [*lows[1:], top]))
 
 
@@ -239,14 +249,16 @@ class Model:
 def fit(train: DataFrame, order: int = ORDER, entries: int = ENTRIES) -> Model:
     """Count bytes and words of every text of ``train``."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter = Counter()
         for batch in batches:
-            for i in range(0, len(batch), 2000):
-                texts = batch["text"].iloc[i:i + 2000]
-                seen: Counter = Counter()
-                for text in texts:
-                    seen.update(words_of(text))
-                # The closing token has no bytes, so it is no word.
-                yield pd.DataFrame({"word": [b"", *seen], "n": [len(texts), *seen.values()]})
+            for text in batch["text"]:
+                seen.update(words_of(text))
+                seen[b""] += 1  # the closing token has no bytes, so it is no word
+                if len(seen) > WORDS_HELD:
+                    yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
+                    seen.clear()
+        if seen:
+            yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
 
     words = cut(train.select("text").mapInPandas(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n")))
     sums = words.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct"),

@@ -36,6 +36,8 @@ from dimloom.llm.common import cut
 ORDER = 5
 #: Entries of a shard of the trie over all orders, words of the head, positions handled at once, and context bytes that name a shard.
 ENTRIES, HEAD, STEP, SPLIT = 3_000_000, 250_000, 1 << 20, 3
+#: Bytes of text scored at once.
+PIECE = 1 << 18
 #: Words that a counting task holds before it hands them on.
 WORDS_HELD = 100_000
 _U = np.uint64
@@ -145,19 +147,18 @@ def collect_trie(tables: list[DataFrame], low: int = 0, high: int = 1 << 8 * SPL
 
 
 class Slots:
-    """Positions of 64-bit keys, by open addressing."""
+    """Positions of 64-bit keys, by open addressing; the table holds positions alone, four bytes a slot."""
 
     def __init__(self, keys: np.ndarray) -> None:
         self.bits = max(4, int(len(keys) * 2.2).bit_length())
         self.mask = (1 << self.bits) - 1
-        self.key = np.full(1 << self.bits, ~_U(0))
+        self.keys = keys
         self.at = np.full(1 << self.bits, -1, np.int32)
         left, slot = np.arange(len(keys), dtype=np.int32), self._home(keys)
         while len(left):
             free = self.at[slot] < 0
             self.at[slot[free]] = left[free]  # the last one wins
             placed = self.at[slot] == left
-            self.key[slot[placed]] = keys[left[placed]]
             left, slot = left[~placed], (slot[~placed] + 1) & self.mask
 
     def _home(self, keys: np.ndarray) -> np.ndarray:
@@ -167,11 +168,13 @@ class Slots:
         """Index of every key, -1 for one that is not there."""
         slot = self._home(keys)
         out = self.at[slot]
-        wrong = np.flatnonzero((self.key[slot] != keys) & (out >= 0))
+        if not len(self.keys):
+            return out
+        wrong = np.flatnonzero((self.keys[out] != keys) & (out >= 0))
         while len(wrong):
             slot[wrong] = (slot[wrong] + 1) & self.mask
             out[wrong] = self.at[slot[wrong]]
-            wrong = wrong[(self.key[slot[wrong]] != keys[wrong]) & (out[wrong] >= 0)]
+            wrong = wrong[(self.keys[out[wrong]] != keys[wrong]) & (out[wrong] >= 0)]
         return out
 
 
@@ -295,7 +298,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     context = docs.sparkSession.sparkContext
 
     def lengths(texts: list[bytes], trie: Trie | None, low: int, high: int) -> list[float]:
-        """Of texts of some STEP bytes together, the bytes whose contexts end in [low, high)."""
+        """Of texts of some PIECE bytes together, the bytes whose contexts end in [low, high)."""
         sizes = np.array([len(t) + 1 for t in texts])
         if trie is None:
             return (-np.log10(256.0) * sizes).tolist()
@@ -323,7 +326,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             for text in batch["text"]:
                 part.append(b" ".join(words_of(text)))
                 size += len(part[-1]) + 1
-                if size >= STEP:
+                if size >= PIECE:
                     found += lengths(part, trie, low, high)
                     part, size = [], 0
             if part:
@@ -347,7 +350,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                         known += n
                         base += n * math.log10(c + 0.5)
                 rows.append((len(words) + 1, known, base, list(rare), list(rare.values())))
-                if size >= STEP:
+                if size >= PIECE:
                     found += lengths(part, trie, low, high)
                     part, size = [], 0
             if part:

@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimloom.llm.common import cut
+from dimloom.sources.settle import settle
+
+
+def _written(edges: DataFrame) -> DataFrame:
+    """The rows as a table of known size.
+
+    A checkpoint keeps the planner's estimate, which for a join is the product of both sides: over the rounds that number gains digits
+    exponentially and takes the driver's memory and time.
+    """
+    return settle(edges.coalesce(4 * edges.sparkSession.sparkContext.defaultParallelism), "edges")
 
 
 def contract(edges: DataFrame) -> DataFrame:
@@ -17,16 +26,16 @@ def contract(edges: DataFrame) -> DataFrame:
     """
     proper = lambda e: (e.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                         .distinct())
-    left, rounds = cut(proper(edges), few=True), []
+    left, rounds = _written(proper(edges)), []
     while left.count():
         rank = lambda c, r=len(rounds): F.struct(F.xxhash64(F.lit(r), c).alias("h"), c.alias("v"))
         both = left.union(left.select("b", "a"))
-        hooks = cut(both.groupBy(F.col("a").alias("node"))
-                    .agg(F.min(F.least(rank(F.col("a")), rank(F.col("b"))))["v"].alias("root")), few=True)
+        hooks = _written(both.groupBy(F.col("a").alias("node"))
+                         .agg(F.min(F.least(rank(F.col("a")), rank(F.col("b"))))["v"].alias("root")))
         rounds.append(hooks)
-        left = cut(proper(left.join(hooks.toDF("a", "ra"), "a")
-                          .join(hooks.toDF("b", "rb"), "b")
-                          .select(F.col("ra").alias("a"), F.col("rb").alias("b"))), few=True)
+        left = _written(proper(left.join(hooks.toDF("a", "ra"), "a")
+                               .join(hooks.toDF("b", "rb"), "b")
+                               .select(F.col("ra").alias("a"), F.col("rb").alias("b"))))
     if not rounds:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).limit(0)
     found = rounds[0]

@@ -17,6 +17,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -63,14 +64,17 @@ _FAMILY = {word: family for family, names in FAMILIES.items() for word in names
 class Block:
     text: str
     tag: str
-    ancestors: tuple[str, ...]
+    ancestors: frozenset[str]
     families: frozenset[str]
     container: int
     linked: int
 
 
 def blocks_of(html: str) -> list[Block]:
-    stack: list[tuple[str, frozenset[str], int]] = []
+    # Of each open element: its tag, all open tags, the families of all, its container, and whether a head is among them.
+    bottom = ("", frozenset(), frozenset(), 0, False)
+    stack: list[tuple[str, frozenset[str], frozenset[str], int, bool]] = []
+    depth: Counter[str] = Counter()
     out: list[Block] = []
     parts: list[str] = []
     unclosed: set[str] = set()
@@ -79,13 +83,23 @@ def blocks_of(html: str) -> list[Block]:
     def flush() -> None:
         nonlocal linked
         text = " ".join(entities.unescape("".join(parts)).split()) if parts else ""
-        if text and not any(t == "head" for t, _, _ in stack):
-            families = frozenset().union(*[f for _, f, _ in stack])
-            box = next((s for t, _, s in reversed(stack) if t in _CONTAINER and t not in ("li", "td")), 0)
-            out.append(Block(text, stack[-1][0] if stack else "", tuple(t for t, _, _ in stack), families, box, linked))
+        tag, tags, families, box, in_head = stack[-1] if stack else bottom
+        if text and not in_head:
+            out.append(Block(text, tag, tags, families, box, linked))
         parts.clear()
         linked = 0
 
+    def push(tag: str, named: frozenset[str]) -> None:
+        _, tags, families, box, in_head = stack[-1] if stack else bottom
+        stack.append((tag, tags if tag in tags else tags | {tag}, families if named <= families else families | named,
+                      serial if tag in _CONTAINER and tag not in ("li", "td") else box, in_head or tag == "head"))
+        depth[tag] += 1
+
+    def pop() -> str:
+        tag = stack.pop()[0]
+        depth[tag] -= 1
+        return tag
+
     while at < n:
         m = _TOKEN.match(html, at)
         if m[0] == "<" and _BEGUN.match(html, at):
@@ -98,14 +112,14 @@ def blocks_of(html: str) -> list[Block]:
             if piece[0] != "<" or piece == "<":
                 if stack and stack[-1][0] == "head" and not piece.isspace():
                     flush()
-                    stack.pop()
+                    pop()
                 parts.append(piece)
                 linked += len(piece) if in_link else 0
             continue
         tag = tag.lower()
         if not m[1] and stack and stack[-1][0] == "head" and tag not in _HEAD:
             flush()
-            stack.pop()
+            pop()
         if tag in _RAW:
             if not m[1] and not (tag == "svg" and m[3].endswith("/")) and tag not in unclosed:
                 end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
@@ -121,16 +135,14 @@ def blocks_of(html: str) -> list[Block]:
         flush()
         in_link = False
         if m[1]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
+            while depth[tag] and pop() != tag:
+                pass
         elif tag not in _VOID and not m[3].endswith("/"):
             while stack and (stack[-1][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6") or stack[-1][0] in _CLOSES.get(tag, ())):
-                stack.pop()
+                pop()
             serial += 1
             named = [w for a in _ATTRIBUTE.finditer(m[3]) for w in re.split(r"[^a-z]+", (a[2] or a[3] or a[4] or "").lower())] if m[3] else []
-            stack.append((tag, frozenset(_FAMILY[w] for w in named if w in _FAMILY), serial))
+            push(tag, frozenset(_FAMILY[w] for w in named if w in _FAMILY))
     flush()
     return out
 
@@ -309,7 +321,8 @@ def fit(pages: DataFrame, size: int = TRAIN_PAGES, seed: int = 7) -> Chain:
     n = pages.count()
     drawn = pages.filter("html IS NOT NULL").filter(
         F.pmod(F.xxhash64(F.lit(seed), "html"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, 1.5 * size / max(n, 1))) + 1)
-    sampled = [r["html"] for r in drawn.select("html").dropDuplicates().limit(size).collect() if len(r["html"]) < 200_000]
+    ordered = drawn.select("html").distinct().orderBy(F.xxhash64(F.lit(seed + 1), "html"), "html").limit(size)
+    sampled = [r["html"] for r in ordered.collect() if len(r["html"]) < 200_000]
     rng, examples = random.Random(seed), []
     for html in sorted(sampled):
         blocks = blocks_of(html)

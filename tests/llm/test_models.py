@@ -250,3 +250,10 @@ def test_licences_of_odd_rows(odd_docs, no_docs):
     model = licences.fit(odd_docs)
     assert {r.n_spans for r in licences.scan(odd_docs, model).collect()} == {0}
     assert licences.scan(no_docs, licences.fit(no_docs)).count() == 0
+
+
+def test_deeply_nested_pages_take_linear_time():
+    deep = '<div class="a b">t' * 50_000
+    blocks = pages.blocks_of(deep + "</span></em>" * 1_000 + "</section>" * 50_000)
+    assert len(blocks) == 50_000 and blocks[-1].ancestors == {"div"}
+    assert len(pages.features(blocks)) == 50_000

@@ -15,6 +15,7 @@ Patterns run in time linear in the text.  Every document counts; nothing is capp
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -74,27 +75,17 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 def contexts(text: str, spans: list[tuple[int, int, int, str]], window: int) -> list[tuple[str, str]]:
     """(entity, sorted terms around it, space-joined) of each span; terms are runs of letters outside all spans."""
-    out = []
-    reach = 40 * window
     blank = list(text) if spans else []
     for start, _, end, _ in spans:
         blank[start:end] = " " * (end - start)
-    plain = "".join(blank)
+    words, starts = [], []
+    for m in _TERM.finditer("".join(blank)):
+        words.append(m[0])
+        starts.append(m.start())
+    out = []
     for start, kind, end, value in spans:
-        # Whole words only: the piece is widened until it holds enough of them or the text ends.
-        def side(left: bool) -> list[str]:
-            size = reach
-            while True:
-                piece = plain[max(0, start - size):start] if left else plain[end:end + size]
-                words = _TERM.findall(piece)
-                whole = size >= (start if left else len(plain) - end)
-                if whole:
-                    return words[-window:] if left else words[:window]
-                if len(words) > window:
-                    return words[-window:] if left else words[:window]
-                size *= 4
-
-        terms = {w.translate(_LOWER) for w in side(True) + side(False) if len(w) >= 3}
+        i, j = bisect_left(starts, start), bisect_left(starts, end)
+        terms = {w.translate(_LOWER) for w in words[max(0, i - window):i] + words[j:j + window] if len(w) >= 3}
         out.append((f"{KINDS[kind]}:{value}", " ".join(sorted(terms))))
     return out
 

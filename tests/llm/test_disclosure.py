@@ -82,3 +82,14 @@ def test_odd_rows(odd_docs, no_docs):
     assert len(got) == 11 and {r.spans for r in got} == {""}
     assert D.digests(no_docs).count() == 0 and D.sanitise(no_docs).count() == 0
     assert sorted(map(str, D.sanitise(odd_docs).collect())) == sorted(map(str, odd_docs.collect()))
+
+
+def test_contexts_of_a_long_log_take_linear_time():
+    text = "seen 10.0.0.1 " + "10.0.0.1 " * 110_000 + "by Zoe"
+    found = D.contexts(text, D.base_spans(text), 8)
+    assert len(found) == 110_001 and set(found) == {("ip:10.0.0.1", "seen zoe")}
+
+
+def test_contexts_are_the_nearest_words_outside_all_spans():
+    text = "one two three four a@b.co five 1.2.3.4 six seven eight"
+    assert D.contexts(text, D.base_spans(text), 2) == [("email:a@b.co", "five four six three"), ("ip:1.2.3.4", "five four seven six")]

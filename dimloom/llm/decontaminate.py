@@ -59,21 +59,33 @@ def benchmark_windows(benchmark: DataFrame, n: int = 10) -> DataFrame:
 
 
 def _hits(keyed: DataFrame, windows: DataFrame) -> DataFrame:
-    """One row per document and occurrence: (doc_id, text_hash, pos, n, items)."""
+    """One row per document and occurrence: (doc_id, text_hash, pos, n, items).
+
+    Positions are sought by hash alone, so a row per window is a few numbers; the words of the documents met are compared after that.
+    """
+    windows = cut(windows, few=True)
     sizes = windows.groupBy("n").count().collect()  # at most one row per window length
     if not sizes:
         sizes = [{"n": 1, "count": 0}]
     small = sum(row["count"] for row in sizes) <= BROADCAST_WINDOWS
-    found = None
+    shared = F.broadcast if small else (lambda df: df)
+    met = None
     for row in sizes:
-        listed = windows.filter(F.col("n") == row["n"]).withColumn("h", _windows(F.col("window"), row["n"])[0])
-        scanned = (keyed.select("doc_id", "text_hash", words(F.col("text")).alias("ws"))
-                   .select("doc_id", "text_hash", "ws", F.posexplode(_windows(F.col("ws"), row["n"])).alias("pos", "h")))
-        part = (scanned.join(F.broadcast(listed) if small else listed, "h")
-                .filter(F.slice("ws", F.col("pos") + 1, row["n"]) == F.col("window"))
-                .select("doc_id", "text_hash", "pos", "n", "items"))
-        found = part if found is None else found.union(part)
-    return found
+        listed = windows.filter(F.col("n") == row["n"]).select(_windows(F.col("window"), row["n"])[0].alias("h")).distinct()
+        scanned = keyed.select("doc_id", "text_hash", F.posexplode(_windows(words(F.col("text")), row["n"])).alias("pos", "h"))
+        part = (scanned.join(shared(listed), "h", "left_semi")
+                .select("doc_id", "text_hash", F.struct("pos", F.lit(row["n"]).alias("n")).alias("place")))
+        met = part if met is None else met.union(part)
+    met = cut(met.groupBy("doc_id", "text_hash").agg(F.collect_set("place").alias("places")), few=True)
+    # Only the keys of the documents met are broadcast, their places follow by a shuffle.
+    keys = met.select(F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash"))
+    keys = F.broadcast(keys) if keys.count() <= BROADCAST_LEAKS else keys
+    texts = keyed.join(keys, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("text_hash") == F.col("m_hash")), "left_semi")
+    found = let(words(F.col("t.text")), lambda ws: F.transform("m.places", lambda p: F.struct(
+        p["pos"].alias("pos"), p["n"].alias("n"), F.slice(ws, p["pos"] + 1, p["n"]).alias("window"))))
+    return (texts.alias("t").join(met.alias("m"), _same_row("t.doc_id", "t.text_hash", "m"))
+            .select("m.doc_id", "m.text_hash", F.explode(found).alias("place")).select("doc_id", "text_hash", "place.*")
+            .join(shared(windows.select("window", "items")), "window").select("doc_id", "text_hash", "pos", "n", "items"))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:

@@ -57,3 +57,23 @@ def test_spans_go_and_clean_text_stays(spark, clashing):
     got = {r.doc_id: r.text for r in D.remove_spans(docs, items, 4).collect()}
     assert got == {1: "Before: After.", 2: "Nothing here; is it?", 3: None}
     assert {r.doc_id for r in D.drop_documents(docs, items, 4).collect()} == {2, 3}
+
+
+def test_a_very_long_text(spark):
+    many = 500_000
+    text = " ".join(f"w{i % 1000}" for i in range(many)) + " one two three four five six seven eight nine ten"
+    items = [(7, "one two three four five six seven eight nine ten"), (8, "w999 w998"), (9, "w5 w6 w7")]
+    got = D.report(spark.createDataFrame([(1, text)], "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert [(r.n_words, r.n_hit, r.n_items) for r in got] == [(many + 10, 10 + 3 * many // 1000, 2)]
+
+
+def test_both_ways_of_joining_give_the_same(spark, clashing, monkeypatch):
+    docs = [(1, "A b; c-D e f g z"), (2, "a b c d"), (3, None), (4, "solo"), (5, "x c d e f g c d e f"), (6, "é È é"), (6, "é È é"), (None, "SOLO a")]
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    monkeypatch.setattr(D, "BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr(D, "BROADCAST_LEAKS", 0)
+    key = lambda r: tuple(str(x) for x in r)
+    got = D.report(clashing(docs, "doc_id long, text string"), items, 3)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(brute(docs, ITEMS, 3), key=key)
+    assert sorted(str(r.doc_id) for r in D.drop_documents(clashing(docs, "doc_id long, text string"), items, 3).collect()) == sorted(
+        str(r[0]) for r in brute(docs, ITEMS, 3) if not r[-1])

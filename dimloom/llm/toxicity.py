@@ -8,7 +8,7 @@ Trees, lexicon and calibration are fitted on a sample of about ``rows`` labelled
 hash of the id.  Every document is scored whole.
 
 Defined results: a null text is an empty one and gets a score as any other; without labelled rows of both kinds every score is the
-share of toxic rows (0 without rows); null labels are left out, an id labelled more than once is toxic if any row says so; repeated
+share of toxic rows (0 without rows); null labels are left out, an id or a text labelled more than once is toxic if any label says so; repeated
 rows and null ids are scored row by row; extra columns are returned by ``add_scores`` as they were, whatever their names.
 """
 
@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 
 from dimloom.llm.common import cut
 
-#: Labelled rows to fit on, lexicon entries, and words whose flags a worker keeps (some 60 MB).
-TRAIN_ROWS, LEXICON, MEMO = 20_000, 2_000, 400_000
+#: Labelled rows to fit on, lexicon entries, words whose flags a worker keeps (some 30 MB), and characters of such a word: longer ones,
+#: as whole texts without spaces, are looked at in full each time they are met.
+TRAIN_ROWS, LEXICON, MEMO, MEMO_LENGTH = 20_000, 2_000, 200_000, 48
 STEMS = (4, 5, 6, 7)
 SECOND_PERSON = frozenset(
     "you your yours yourself u ur du dich dir dein deine deiner ihr euch euer sie tu te toi ton ta tes vous votre vos tú ti tus usted ustedes "
@@ -40,7 +41,9 @@ _EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 _INSIDE = re.compile(r"[^\W\d_][^\w'’-]+[^\W\d_]|[^\W\d_]\d|\d[^\W\d_]")
 _THRICE = re.compile(r"([^\W\d_])\1\1")
 _PLAIN = [str.maketrans("013457@$!|", f"o{one}eastas{one}{one}") for one in "il"]
+_AROUND = ".,;:?()\"'"  # marks that stand for no letter
 _NOT_LETTER = re.compile(r"[\W\d_]+")
+_RUN, _TWICE = re.compile(r"(.)\1+"), re.compile(r"(.)\1")
 _UPPER, _DIGIT, _MARK = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 # Flags of a word; the weight of its lexicon entry, in quarters, stands above them.
@@ -58,7 +61,7 @@ def terms_of(text: str) -> set[str]:
     """Lower-case words and their stems (with a star)."""
     out: set[str] = set()
     for word in {plain(w) for w in text.split()}:
-        if 3 <= len(word) <= 40:
+        if len(word) >= 3:
             out.add(word)
             out.update(word[:n] + "*" for n in STEMS if n < len(word))
     return out
@@ -78,30 +81,40 @@ class Flags(dict):
         found = [self.lexicon[s] for n in STEMS if n < len(word) and (s := word[:n] + "*") in self.lexicon]
         return (_STEM, max(found)) if found else (0, 0.0)
 
+    def disguised(self, low: str, bare: str, letters: bool) -> float:
+        """Greatest weight of a lexicon entry that the word spells with digits, marks or repeated letters in it; 0 if none."""
+        weight = 0.0
+        clears = {bare} if letters else {_NOT_LETTER.sub("", low.translate(table)) for table in _PLAIN}
+        for clear in clears:
+            for form in {clear, _RUN.sub(r"\1", clear) if _TWICE.search(clear) else clear} - {bare}:
+                if len(form) >= 3 and (hit := self.entry(form))[0] == _LEX:
+                    weight = max(weight, hit[1])
+        return weight
+
     def __missing__(self, word: str) -> int:
-        if len(self) >= MEMO:
-            self.clear()
-        bare = plain(word)
+        low = word.lower()
+        core = low.strip(_AROUND)
+        letters = core.isalpha() and word.strip(_AROUND).isalpha()  # nothing between letters or in place of one
+        bare = core if letters else _EDGES.sub("", low)
         flag, weight = self.entry(bare)
-        if not flag and len(word) <= 60:
-            for table in _PLAIN:
-                clear = _NOT_LETTER.sub("", word.lower().translate(table))
-                squeezed = re.sub(r"(.)\1+", r"\1", clear)
-                for form in (clear, squeezed):
-                    if len(form) >= 3 and form != bare and (hit := self.entry(form))[0] == _LEX:
-                        flag, weight = _DISGUISED, max(weight, hit[1])
+        if not flag and (disguised := self.disguised(low, bare, letters)):
+            flag, weight = _DISGUISED, disguised
         if bare in SECOND_PERSON:
             flag |= _YOU
-        if len(bare) >= 3 and word.upper() == word and word.lower() != word:
+        if len(bare) >= 3 and low != word and word.upper() == word:
             flag |= _SHOUT
-        if _INSIDE.search(word[:200]):
-            flag |= _OBSCURED
-        if "!" in word:
-            flag |= _BANG
-        if _THRICE.search(word[:200]):
+        if not letters:
+            if _INSIDE.search(word):
+                flag |= _OBSCURED
+            if "!" in word:
+                flag |= _BANG
+        if _THRICE.search(word):
             flag |= _REPEAT
         flag |= min(255, int(4 * weight)) << _WEIGHT
-        self[word] = flag
+        if len(word) <= MEMO_LENGTH:
+            if len(self) >= MEMO:
+                self.clear()
+            self[word] = flag
         return flag
 
 
@@ -178,11 +191,11 @@ def _lexicon(rows: DataFrame, size: int) -> dict[str, float]:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, trees: int = 25, depth: int = 4, seed: int = 7) -> Model:
     """Fit on the documents that ``labels`` (doc_id, toxic) covers; hand over only the labels to learn from."""
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    n = labels.count()
+    n = known.count()
     drawn = known.filter(F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, rows / max(n, 1))) + 1)
     # At most about ``rows`` ids, so they are broadcast and no text of another document moves.
-    sample = cut(docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").withColumn("hash", F.xxhash64("text"))
-                 .dropDuplicates(["hash"]))
+    sample = cut(docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").groupBy("text").agg(F.max("toxic").alias("toxic"))
+                 .withColumn("hash", F.xxhash64("text")))
     kinds = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     prior = kinds.get(1, 0) / max(1, sum(kinds.values()))
     if min(kinds.get(0, 0), kinds.get(1, 0)) < 4:

@@ -52,6 +52,39 @@ def test_disguised_words_and_proximity():
     assert toxicity.features_of("", flags) == [0.0] * len(toxicity.FEATURES)
 
 
+def test_words_of_any_length_are_read_whole():
+    flags = toxicity.Flags({"moro*": 3.0})
+    at = dict(zip(toxicity.FEATURES, toxicity.features_of("moro" + "x" * 100_000 + "-y aaa bbbccc " + "q" * 500 + "%d", flags)))
+    assert at["stems"] == 0.25 and at["repeated"] == 1.0 and at["obscured"] == 0.25
+    assert all(len(w) <= toxicity.MEMO_LENGTH for w in flags)
+    assert "z" * 300 in toxicity.terms_of("z" * 300)
+
+
+def test_labels_of_copies_are_joined_before_one_stays(spark):
+    docs = spark.createDataFrame([(i, f"text {i // 2}") for i in range(16)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 2 and i < 8)) for i in range(16)] + [(i, None) for i in range(16)], "doc_id long, toxic int")
+    assert toxicity.fit(docs, labels, trees=1).prior == 0.5
+
+
+@pytest.mark.parametrize("word", ["Idiot,", "1D10T!", "i.d.i.o.t", "(IDIIIOT)", "idi-ot", "ǅidiot", "İdiot", "idiot'", "...", "a", "ID10T?!", "x1y"])
+def test_flags_agree_with_plain_rules(word):
+    lexicon = {"idiot": 4.0, "idio*": 2.0}
+    bare, flag, weight = re.sub(r"^[\W\d_]+|[\W\d_]+$", "", word.lower()), 0, 0.0
+    if bare in lexicon:
+        flag, weight = toxicity._LEX, 4.0
+    elif bare[:4] + "*" in lexicon and len(bare) > 4:
+        flag, weight = toxicity._STEM, 2.0
+    else:
+        for one in "il":
+            clear = re.sub(r"[\W\d_]+", "", word.lower().translate(str.maketrans("013457@$!|", f"o{one}eastas{one}{one}")))
+            if "idiot" in {clear, re.sub(r"(.)\1+", r"\1", clear)} - {bare}:
+                flag, weight = toxicity._DISGUISED, 4.0
+    got = toxicity.Flags(lexicon)[word]
+    assert got & (toxicity._LEX | toxicity._STEM | toxicity._DISGUISED) == flag and got >> 8 == int(4 * weight)
+    assert bool(got & toxicity._OBSCURED) == bool(toxicity._INSIDE.search(word)) and bool(got & toxicity._BANG) == ("!" in word)
+    assert bool(got & toxicity._SHOUT) == (len(bare) >= 3 and word.upper() == word and word.lower() != word)
+
+
 # Language model
 
 def slow_ppm(train, text, order):

@@ -15,6 +15,7 @@ rows and null ids are scored row by row; extra columns are returned by ``add_sco
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import Any
 
@@ -146,18 +147,12 @@ class Model:
     prior: float
 
 
-_KEPT: dict[int, Flags] = {}
-
-
 def _features(text: Column, lexicon: dict[str, float]) -> Column:
-    key = hash(frozenset(lexicon.items()))
-
     @F.pandas_udf("array<double>")
-    def run(texts: pd.Series) -> pd.Series:
-        if key not in _KEPT:  # one lexicon at a time in a worker
-            _KEPT.clear()
-            _KEPT[key] = Flags(lexicon)
-        return pd.Series([features_of(t or "", _KEPT[key]) for t in texts], dtype=object)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        flags = Flags(lexicon)  # goes with the task: a worker that later stages use again keeps nothing
+        for texts in batches:
+            yield pd.Series([features_of(t or "", flags) for t in texts], dtype=object)
 
     return run(text)
 

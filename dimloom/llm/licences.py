@@ -1,15 +1,18 @@
 """Licence scans: a trained paragraph classifier, confirmed by comparison with templates.
 
-Every paragraph (line) of a document that holds an anchor word is cut into windows; a window's word n-grams (one to three words) go through a
-multinomial logistic regression over the licence families and ``unknown``.  Its probabilities are calibrated by a temperature fitted on
-held-out windows.  A family that is likelier than not is confirmed if enough of the word pairs of one of its templates stand in the
-window; otherwise the window is unknown.
-
-Trained on varied copies of the templates, on the negative sentences below, and on at most ``SAMPLE`` lines of the corpus without an anchor.
-
-Defined results: a null or empty text, and one without anchor words, has no licences; of overlapping windows of a family one span is made; lines of
-any length are read whole; repeated rows and null ids are scanned row by row; extra columns are ignored; without corpus lines the
-negatives below are all that ``unknown`` is learned from.
+A paragraph is a run of lines with words in them: a blank line, or one of comment marks alone, ends it, so notices may be wrapped or
+commented.  Paragraphs are read in windows of ``WINDOW`` words.  A window's word n-grams (one to three words) go through a multinomial
+logistic regression over the licence families and ``unknown``; its probabilities are calibrated by a temperature fitted on held-out
+windows.  A family that is likelier than ``unknown`` is confirmed if, close together, enough word pairs of one of its templates stand in the
+window, and at least half of those that no other family has.  The words that name it are then taken out and the rest is classified again, so a window may
+name several families; what is not confirmed is unknown.  Windows without a pair that sets a family apart cannot be confirmed and are not classified.
+
+Trained on varied copies of the templates, on the negative sentences below, and on at most ``SAMPLE`` paragraphs of the corpus without an
+anchor word (of each, ``WINDOW`` words and 400 characters from a place chosen by hash).
+
+Defined results: a null or empty text has no licences; of overlapping spans of a family one is made; paragraphs of any length are read
+whole; of families equally likely the first by name counts; repeated rows and null ids are scanned row by row; extra columns are ignored; without
+corpus paragraphs the negatives below are all that ``unknown`` is learned from.
 """
 
 from __future__ import annotations
@@ -24,13 +27,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Corpus lines to learn ``unknown`` from, varied copies of each template, words of a window and its step.
+#: Corpus paragraphs to learn ``unknown`` from, varied copies of each template, words of a window and its step.
 SAMPLE, COPIES, WINDOW, STRIDE = 400, 40, 48, 16
 
 # Usual notices of the licence families.
 TEMPLATES = {
     "agpl": ["licensed under the GNU Affero General Public License version 3",
-             "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License"],
+             "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published "
+             "by the Free Software Foundation"],
     "apache-2.0": ["Licensed under the Apache License, Version 2.0",
                    "you may not use this file except in compliance with the License. You may obtain a copy of the License at apache org licenses LICENSE-2.0",
                    "released under the terms of the Apache License 2.0"],
@@ -46,7 +50,8 @@ TEMPLATES = {
     "isc": ["Released under the ISC License",
             "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
     "lgpl": ["licensed under the GNU Lesser General Public License version 2.1",
-             "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License"],
+             "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published "
+             "by the Free Software Foundation"],
     "mit": ["Released under the MIT License", "licensed under the terms of the MIT License",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in "
             "the Software without restriction"],
@@ -59,10 +64,12 @@ NEGATIVE = ["He lost his driving licence for a year after the accident.", "The s
             "Public transport is free of charge for students.", "He is a licensed plumber under contract.", "The version released in May was the third.",
             "The foundation published a copy of the work.", "Her fishing license expired.", "Apache helicopters were seen over the city.",
             "MIT released a study about the weather.", "The public domain of the village is small.", "Use of the hall is permitted with a license."]
-#: Every template holds one of these.
+#: Corpus paragraphs with one of these teach nothing: they may be notices.
 ANCHOR = re.compile(r"licen[sc]e|permission|redistribut|public domain|public license|cc0|copyright", re.I)
 _WORD = re.compile(r"[^\W_]+")
 UNKNOWN = "unknown"
+#: Stands where a confirmed family was named.
+TAKEN = "\0"
 
 
 def grams(words: list[str]) -> set[str]:
@@ -78,6 +85,10 @@ def _pairs(words: list[str]) -> set[tuple[str, str]]:
 
 
 _TEMPLATE_PAIRS = {family: [_pairs(_words(t)) for t in texts] for family, texts in TEMPLATES.items()}
+#: Of each family, the pairs that no other family's templates hold.
+_NAMING = {family: set().union(*own) - set().union(*(p for other, ps in _TEMPLATE_PAIRS.items() if other != family for p in ps))
+           for family, own in _TEMPLATE_PAIRS.items()}
+_ALL_NAMING = set().union(*_NAMING.values())
 
 
 @dataclass
@@ -148,47 +159,81 @@ def train(negatives: list[str], seed: int = 7, rounds: int = 150, decay: float =
 
 
 def fit(docs: DataFrame, size: int = SAMPLE, seed: int = 7) -> Model:
-    """Learn ``unknown`` from at most ``size`` lines of the corpus, drawn by hash."""
+    """Learn ``unknown`` from at most ``size`` paragraphs of the corpus, drawn by hash."""
     n = docs.count()
     drawn = docs.filter(F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, 2.0 * size / max(n, 1))) + 1)
-    lines = (drawn.select(F.xxhash64("text").alias("h"), F.explode(F.slice(F.split("text", "\n"), 1, 3)).alias("line"))
-             .filter(~F.col("line").rlike(f"(?i){ANCHOR.pattern}") & (F.length("line") > 0))
-             .select("h", F.substring("line", 1, 400).alias("line")).distinct().orderBy("h", "line").limit(size).collect())
-    return train([r["line"] for r in lines], seed)
+    words = F.split("paragraph", r"\s+")
+    start = F.pmod(F.xxhash64("paragraph"), F.greatest(F.size(words) - WINDOW + 1, F.lit(1)).cast("bigint")).cast("int") + 1
+    sampled = (drawn.select(F.xxhash64("text").alias("h"), F.explode(F.split("text", r"\n\s*\n")).alias("paragraph"))
+               .filter(~F.col("paragraph").rlike(f"(?i){ANCHOR.pattern}") & (F.length("paragraph") > 0))
+               .select("h", F.substring(F.array_join(F.slice(words, start, WINDOW), " "), 1, 400).alias("part"))
+               .distinct().orderBy(F.xxhash64("h", "part"), "part").limit(size).collect())
+    return train([r["part"] for r in sampled], seed)
+
+
+def _confirmed(words: list[str], free: list[bool], family: str, alike: float) -> list[int]:
+    """Places of the word pairs of the family's best-matched template, close together around a naming pair not yet taken; none if too few."""
+    best, places = 0.0, []
+    for pairs in _TEMPLATE_PAIRS[family]:
+        hits = [k for k in range(len(words) - 1) if (words[k], words[k + 1]) in pairs]
+        naming = pairs & _NAMING[family]
+        for first in hits:
+            if (words[first], words[first + 1]) in naming and free[first] and free[first + 1]:
+                near = [k for k in hits if abs(k - first) <= len(pairs)]
+                met = {(words[k], words[k + 1]) for k in near}
+                share = len(met) / len(pairs)
+                if share >= alike and share > best and 2 * len(met & naming) >= len(naming):
+                    best, places = share, near
+    return places
+
+
+def _families(words: list[str], model: Model, least: float, alike: float) -> Iterator[tuple[str, list[int], float]]:
+    """(family, places of its word pairs, probability) of each confirmed family of a window."""
+    free, places = [True] * len(words), [0]
+    while places:
+        own = model.probabilities([[w if f else TAKEN for w, f in zip(words, free)]])[0]
+        against = own / (own + own[0])  # each family against unknown alone: several may share a window
+        places = []
+        for label in np.argsort(-own[1:], kind="stable") + 1:
+            family = model.classes[label]
+            if against[label] >= least and (places := _confirmed(words, free, family, alike)):
+                yield family, places, float(against[label])
+                for k in places:
+                    if (words[k], words[k + 1]) in _NAMING[family]:
+                        free[k] = free[k + 1] = False
+                break
+
+
+def _paragraphs(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Places of the words of each paragraph."""
+    own: list[tuple[int, int]] = []
+    for m in _WORD.finditer(text):
+        if own and text.count("\n", own[-1][1], m.start()) > 1:
+            yield own
+            own = []
+        own.append(m.span())
+    if own:
+        yield own
 
 
 def spans_of(text: str, model: Model, least: float = 0.5, alike: float = 0.6) -> list[tuple[int, int, str, float]]:
-    """(start, end, family, probability) of the confirmed windows of a text, those of a family merged where they overlap."""
-    found: list[list] = []
-    start = 0
-    for line in text.split("\n"):
-        if ANCHOR.search(line):
-            at = [(m.start(), m.end()) for m in _WORD.finditer(line)]
-            words = [line[a:b].lower() for a, b in at]
-            anchors = [m.start() for m in ANCHOR.finditer(line)]
-            windows = [(i, min(len(words), i + WINDOW)) for i in range(0, max(1, len(words) - WINDOW + STRIDE), STRIDE)] if words else []
-            windows = [(i, j) for i, j in windows if any(at[i][0] <= a < at[j - 1][1] for a in anchors)] if len(windows) > 1 else windows
-            if windows:
-                p = model.probabilities([words[i:j] for i, j in windows])
-                for (i, j), own in zip(windows, p):
-                    best = int(own[1:].argmax()) + 1
-                    family = model.classes[best]
-                    if own[best] < least:
-                        continue
-                    pairs = _pairs(words[i:j])
-                    shares = [len(t & pairs) / len(t) for t in _TEMPLATE_PAIRS[family]]
-                    top = int(np.argmax(shares))
-                    if shares[top] < alike:
-                        continue
-                    hit = [k for k in range(i, j - 1) if (words[k], words[k + 1]) in _TEMPLATE_PAIRS[family][top]]
-                    a, b = start + at[hit[0]][0], start + at[hit[-1] + 1][1]
-                    last = next((f for f in reversed(found) if f[2] == family), None)
-                    if last and a <= last[1]:
-                        last[0], last[1], last[3] = min(a, last[0]), max(b, last[1]), max(last[3], float(own[best]))
-                    else:
-                        found.append([a, b, family, float(own[best])])
-        start += len(line) + 1
-    return [tuple(f) for f in sorted(found)]
+    """(start, end, family, probability against unknown) of the confirmed notices of a text, those of a family merged where they overlap."""
+    if _ALL_NAMING.isdisjoint(_pairs(_words(text))):
+        return []
+    found: dict[str, list[list]] = {}
+    for at in _paragraphs(text):
+        words = [text[a:b].lower() for a, b in at]
+        named = [k for k, pair in enumerate(zip(words, words[1:])) if pair in _ALL_NAMING]
+        starts = sorted({i for k in named for i in range(max(0, k + 2 - WINDOW + STRIDE - 1) // STRIDE * STRIDE, k + 1, STRIDE)})
+        for i in starts:
+            for family, places, p in _families(words[i:i + WINDOW], model, least, alike):
+                a, b = at[i + places[0]][0], at[i + places[-1] + 1][1]
+                own = found.setdefault(family, [])
+                for old in [x for x in own if a < x[1] and x[0] < b]:
+                    own.remove(old)
+                    a, b, p = min(a, old[0]), max(b, old[1]), max(p, old[2])
+                own.append([a, b, p])
+    return sorted((a, b, family, p) for family, own in found.items() for a, b, p in own)
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:

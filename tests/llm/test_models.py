@@ -2,6 +2,7 @@
 import math
 import random
 import re
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -279,6 +280,44 @@ def test_licences_are_found_and_confirmed(clashing):
     assert rows[4][1][int(start):int(end)] == "Released under the MIT License" and got[10].confidence > 0.5
 
 
+def families(text, model):
+    found = licences.spans_of(text, model)
+    assert all(0 <= a < b <= len(text) for a, b, _, _ in found) and found == sorted(found)
+    return [f for _, _, f, _ in found]
+
+
+@pytest.fixture(scope="module")
+def notices():
+    return licences.train(["the river ran past the old house", "seven green tables stood in the quiet room"])
+
+
+def test_licences_wrapped_and_commented(notices):
+    for family, texts in licences.TEMPLATES.items():
+        for text in texts:
+            for width, mark in ((72, ""), (60, "# "), (60, " * "), (40, "// "), (60, "\r")):
+                lines = "\n".join(mark + line for line in textwrap.wrap(text, width))
+                assert families(f"int x;\n\n{lines}\n\nint y;", notices) == [family], (family, lines)
+
+
+def test_licences_named_together(notices):
+    dual = "Dual licensed under the MIT License and the Apache License, Version 2.0"
+    assert sorted(families(dual, notices)) == ["apache-2.0", "mit"]
+    assert families("This text is available under CC BY-SA 4.0", notices) == ["cc-by-sa"]
+    assert families("Released under the MIT License. " * 3, notices) and set(families("Released under the MIT License. " * 3, notices)) == {"mit"}
+    assert families("Released under the MIT License" + " word" * 200 + " Released under the ISC License", notices) == ["mit", "isc"]
+
+
+def test_licences_are_not_found_across_paragraphs(notices):
+    assert families("Released under\n\nthe\n\nMIT\n\nLicense", notices) == [] == families("under the\n#\n# MIT\n#\n# License", notices)
+    assert families("MIT released a study. The Apache licence of the pilot expired, and so did the general public's patience.", notices) == []
+
+
+def test_licences_in_very_long_paragraphs(notices):
+    filler = "some words of a long paragraph that never ends " * 20_000
+    assert families(filler + "Released under the MIT License " + filler, notices) == ["mit"]
+    assert set(families("Released under the MIT License\n" * 2_000, notices)) == {"mit"}
+
+
 def test_licences_of_odd_rows(odd_docs, no_docs):
     model = licences.fit(odd_docs)
     assert {r.n_spans for r in licences.scan(odd_docs, model).collect()} == {0}

@@ -15,7 +15,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, Jaccard similarity of 0.8 or more) stays."""
+    """One document of each group of near copies stays: SimHash links confirmed by five-word shingles (Jaccard similarity of 0.8 or more),
+    and the pairs of that similarity that fingerprints cannot tell."""
     return jaccard.keep_one(docs, size=5, least=0.8)
 
 

@@ -1,4 +1,8 @@
-"""Near copies by Jaccard similarity of word shingles, exact.
+"""Near copies: SimHash fingerprints, every link confirmed by the Jaccard similarity of word shingles, and what fingerprints cannot tell.
+
+Candidates come from two sides.  Texts whose fingerprints (``simhash``: four-word shingles) lie within ``RADIUS`` bits are met by its tiles; a link
+counts only if the whole sets agree.  Sets of similarity 0.8 differ in some 10 bits, which no radius tells from unlike texts, so a prefix filter over
+the shingles themselves meets the other pairs, and the result is exact.
 
 Words are split and lower-cased as for the fingerprints of ``simhash``; a text is the set of its 64-bit shingle hashes, one of fewer words than a
 shingle is one shingle.  Two sets of similarity ``least`` or more share a shingle among the first ``n - ceil(least n) + 1`` of each, under any
@@ -26,12 +30,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dimloom.llm import simhash
 from dimloom.llm.common import cut
 from dimloom.llm.components import contract
 
 #: Sampled texts and common shingles taken from them; rows up to which a table is broadcast; pairs handed on at once; texts in
 #: Python at once (a batch of Arrow holds thousands).
 SAMPLE, COMMON, FEW, STEP, PIECE = 8_000, 200_000, 200_000, 1 << 18, 256
+#: Bits in which the fingerprints of a candidate pair may differ.
+RADIUS = 4
 #: Mask of the bits of a class that hold its size.
 MOST = (1 << 12) - 1
 
@@ -152,11 +159,27 @@ def _few(rows: DataFrame) -> DataFrame:
 
 
 def _class(size: int) -> Callable:
-    @F.pandas_udf("long")
-    def cid(texts: pd.Series) -> pd.Series:
-        return pd.Series([class_of(w, len(shingles_of(w, size))) for w in map(words_of, texts)], dtype="int64")
+    """Class and fingerprint of a text; both depend on its words alone."""
+    @F.pandas_udf("cid long, fp long")
+    def named(texts: pd.Series) -> pd.DataFrame:
+        cids, prints = [], []
+        for text in texts:
+            words = words_of(text)
+            cids.append(class_of(words, len(shingles_of(words, size))))
+            prints.append(simhash.fingerprint_of(text))
+        return pd.DataFrame({"cid": np.array(cids, np.int64), "fp": np.array(prints, np.int64)})
+
+    return named
+
 
-    return cid
+def alike(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(a, b): classes that the fingerprints in ``prints`` (cid, fp) bring together: of one fingerprint, or linked in ``simhash``'s tiles."""
+    classes = cut(prints.distinct(), few=True)
+    first = classes.groupBy("fp").agg(F.min("cid").alias("first"))
+    same = classes.join(first, "fp").select(F.col("first").alias("x"), F.col("cid").alias("y"))
+    links = simhash.links(classes, radius).toDF("fa", "fb")
+    near = (links.join(first.toDF("fa", "x"), "fa").join(first.toDF("fb", "y"), "fb").select("x", "y"))
+    return cut(same.union(near).filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), few=True)
 
 
 class _Texts:
@@ -210,13 +233,15 @@ def _linked(pairs: DataFrame, texts: _Texts, marks: DataFrame, least: float) ->
 
 
 def roots(docs: DataFrame, named: DataFrame, size: int = 5, least: float = 0.8) -> DataFrame:
-    """(node, root) of the classes of texts that have a link; ``named`` has the class (cid) and hash (text_hash) of every text."""
+    """(node, root) of the classes of texts that have a link; ``named`` has the class (cid), fingerprint (fp) and hash (text_hash) of every text."""
     buckets = _buckets(docs, size, least)
     texts = _Texts(docs, named, size)
     marks = cut(texts.of(buckets.select(F.explode("cids").alias("cid")).distinct(),
                          lambda s: (len(s), np.packbits(mark_of(s)).tobytes()), "n bigint, mark binary"), few=True)
     # A star from the first member of each bucket: of a group of near copies, mostly the same member for all its buckets.
-    found = _linked(buckets.select(F.col("cids")[0].alias("a"), F.explode("cids").alias("b")).filter("a <> b"), texts, marks, least)
+    stars = buckets.select(F.col("cids")[0].alias("a"), F.explode("cids").alias("b")).filter("a <> b")
+    # A pair that its sets confirm shares a bucket, so its classes have marks; those without are no near copies.
+    found = _linked(alike(named.select("cid", "fp")).union(stars), texts, marks, least)
     known = cut(contract(found), few=True)
     # The other pairs of buckets that still hold several components.
     open_ = cut(buckets.filter(F.size("cids") > 2)
@@ -247,9 +272,9 @@ def roots(docs: DataFrame, named: DataFrame, size: int = 5, least: float = 0.8)
 
 def keep_one(docs: DataFrame, size: int = 5, least: float = 0.8) -> DataFrame:
     """One row of each component of near copies, with all its columns."""
-    rows = cut(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _class(size)("text").alias("cid")))
+    rows = cut(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _class(size)("text").alias("named")).select("doc_id", "text_hash", "named.*"))
     keys = rows.groupBy("doc_id", "text_hash", "cid").agg(F.count(F.lit(1)).alias("many"))
-    tops = roots(docs.select("text"), rows.select("cid", "text_hash"), size, least)
+    tops = roots(docs.select("text"), rows.select("cid", "fp", "text_hash"), size, least)
     named = cut(keys.join(tops.withColumnRenamed("node", "cid"), "cid", "left").select(
         "many", F.coalesce("root", "cid").alias("root"), F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "text_hash").alias("key")))
     first = named.groupBy("root").agg(F.min("key").alias("first"))

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from dimloom.llm import jaccard as J
@@ -111,3 +112,20 @@ def test_marks_never_rule_out_a_similar_pair():
 def test_packed_hashes_keep_their_upper_bits():
     a = np.sort(np.random.default_rng(1).integers(-2**63, 2**63 - 1, 500))
     assert (J.unpacked(J.packed(a)) == (a.view(np.uint64) >> np.uint64(16)).astype(np.int64)).all()
+
+
+def test_fingerprints_bring_pairs_and_sets_confirm_them(spark, monkeypatch):
+    rng = random.Random(8)
+    say = lambda n: [f"w{rng.randint(0, 4000)}" for _ in range(n)]
+    base = say(400)
+    texts = [" ".join(base), " ".join([*base[:-1], "other"]), " ".join(say(400)), " ".join(say(400))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    # The named method alone: no pair of a star, only those the fingerprints bring together.
+    monkeypatch.setattr(J, "_linked", lambda pairs, *rest, f=J._linked: f(J.alike(named), *rest))
+    named = docs.select(J._class(5)("text").alias("n")).select("n.*")
+    assert J.alike(named).count() == 1
+    assert sorted(r.doc_id for r in J.keep_one(docs).collect()) == [0, 2, 3]
+    # One fingerprint for all: what the sets do not confirm stays.
+    named = named.withColumn("fp", F.lit(7).cast("long"))
+    assert J.alike(named).count() == 3
+    assert {2, 3} <= {r.doc_id for r in J.keep_one(docs).collect()}

@@ -139,3 +139,15 @@ def test_a_load_leaves_the_reference_of_other_portfolios_alone(spark, warehouse)
 def test_empty_codes_are_missing_codes(spark, warehouse):
     result = staffing(warehouse, feed(spark, AU, ("AU-01", "", "lost", "Company")), 1)
     assert result.unmatched_rows == 1 and valid(warehouse, "valid_staffing_schedule") == ["au"]
+
+
+def test_rows_of_a_scope_are_written_unshuffled(spark, tmp_path):
+    """All rows of a scope share their directory: nothing is gathered in one task or sorted for it."""
+    table = scope_runner.table(Warehouse(spark, str(tmp_path / "wh")), "valid_cost")
+    rows = spark.range(0, 400, 1, 8).select(F.col("id").alias("cost_key"), F.lit("P/1").alias("project_id"), F.lit(DAY).alias("dt_reporting"))
+    table.write(scope_runner._fitted(rows, scope_runner.COST), 3, within={"project_id": "P/1", "dt_reporting": DAY})
+    assert table.written(3) == ["project_id=P%2F1/dt_reporting=2024-01-31/etl_batch=3"]
+    assert len(list((tmp_path / "wh").rglob("part-*.parquet"))) == 8
+    ids = spark.createDataFrame([(3,)], "run_id long")
+    back = table.read(ids, {"project_id": ["P/1"], "dt_reporting": [DAY.isoformat()]})
+    assert sorted(r.cost_key for r in back.collect()) == list(range(400)) and back.select("project_id", "dt_reporting").distinct().first() == ("P/1", DAY)

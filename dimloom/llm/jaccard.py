@@ -10,8 +10,9 @@ one order of all shingles (prefix filter), so texts are met under those shingles
 shingles that are common in a sample last, so a passage that many texts quote rarely brings them together; the sample decides the cost,
 never the result.
 
-Texts met under one shingle are compared with the first of them; only where that leaves more than one component are the other pairs
-compared.  A link is a pair whose whole sets reach ``least``; no document goes without a chain of such links to the one that stays.
+Under the first shingle that two texts share, none of what either has before it is in the other, so a pair counts there only if what is
+left of both leaves room for the similarity.  Texts met under one shingle are compared with the one that has the fewest before it; only where
+that leaves more than one component are the other pairs compared.  A link is a pair whose whole sets reach ``least``; no document goes without a chain of such links to the one that stays.
 
 Defined results: texts of the same words are copies, and so are null and wordless ones; rows are told apart by id and text, so rows with a null
 id, or with one id and several texts, are judged apart; of a component the row with the least id stays (a null id last), of its repetitions one;
@@ -135,23 +136,32 @@ def _common(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     return key[at], at
 
 
+def room(rest: int, n: int, other: int, least: float) -> bool:
+    """Whether a text of ``n`` shingles, ``rest`` of them from the first shared one on, can share enough with one of ``other``; of columns and arrays too."""
+    return rest * (1 + least) >= least * (n + other) - 1e-6
+
+
 def _buckets(docs: DataFrame, size: int, least: float) -> DataFrame:
-    """(bucket, cids): sorted classes of texts met under one shingle, equal lists once."""
+    """(bucket, ms): classes of texts met under one shingle, with their number of shingles and how many come before it; the one with the fewest is first."""
     common, rank = _common(docs, size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _pieces(batches):
-            keys, classes = [], []
+            keys, classes, sizes = [], [], []
             for text in batch["text"].to_pylist():
                 words = words_of(text)
                 shingles = shingles_of(words, size)
                 keys.append(prefix_of(shingles, common, rank, least))
                 classes.append(class_of(words, len(shingles)))
-            yield pa.RecordBatch.from_pydict({"key": np.concatenate(keys), "cid": np.repeat(np.array(classes, np.int64), [len(k) for k in keys])})
+                sizes.append(len(shingles))
+            many = [len(k) for k in keys]
+            yield pa.RecordBatch.from_pydict({
+                "key": np.concatenate(keys), "at": np.concatenate([np.arange(m, dtype=np.int32) for m in many]),
+                "n": np.repeat(np.array(sizes, np.int32), many), "cid": np.repeat(np.array(classes, np.int64), many)})
 
-    met = (docs.select("text").mapInArrow(run, "key bigint, cid bigint").groupBy("key").agg(F.collect_set("cid").alias("cids"))
-           .filter(F.size("cids") > 1).select(F.array_sort("cids").alias("cids")).distinct())
-    return cut(met.select(F.monotonically_increasing_id().alias("bucket"), "cids"), few=True)
+    met = (docs.select("text").mapInArrow(run, "key bigint, at int, n int, cid bigint")
+           .groupBy("key").agg(F.collect_set(F.struct("at", "n", "cid")).alias("ms")).filter(F.size("ms") > 1).select(F.array_sort("ms").alias("ms")))
+    return cut(met.select(F.monotonically_increasing_id().alias("bucket"), "ms"), few=True)
 
 
 def _few(rows: DataFrame) -> DataFrame:
@@ -236,32 +246,34 @@ def roots(docs: DataFrame, named: DataFrame, size: int = 5, least: float = 0.8)
     """(node, root) of the classes of texts that have a link; ``named`` has the class (cid), fingerprint (fp) and hash (text_hash) of every text."""
     buckets = _buckets(docs, size, least)
     texts = _Texts(docs, named, size)
-    marks = cut(texts.of(buckets.select(F.explode("cids").alias("cid")).distinct(),
+    # A star from the member with the fewest rarer shingles: of a group of near copies, the one nearest to what they have in common.
+    pairs = buckets.select(F.col("ms")[0].alias("x"), F.explode("ms").alias("y")).filter("x.cid <> y.cid")
+    stars = (pairs.filter(room(F.col("x.n") - F.col("x.at"), F.col("x.n"), F.col("y.n"), least) & room(F.col("y.n") - F.col("y.at"), F.col("y.n"), F.col("x.n"), least))
+             .select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct())
+    marks = cut(texts.of(buckets.select(F.explode("ms.cid").alias("cid")).distinct(),
                          lambda s: (len(s), np.packbits(mark_of(s)).tobytes()), "n bigint, mark binary"), few=True)
-    # A star from the first member of each bucket: of a group of near copies, mostly the same member for all its buckets.
-    stars = buckets.select(F.col("cids")[0].alias("a"), F.explode("cids").alias("b")).filter("a <> b")
     # A pair that its sets confirm shares a bucket, so its classes have marks; those without are no near copies.
     found = _linked(alike(named.select("cid", "fp")).union(stars), texts, marks, least)
     known = cut(contract(found), few=True)
     # The other pairs of buckets that still hold several components.
-    open_ = cut(buckets.filter(F.size("cids") > 2)
-             .select("bucket", F.explode(F.slice("cids", F.lit(2), F.size("cids") - 1)).alias("node")).join(known, "node", "left")
-             .select("bucket", F.struct("node", F.coalesce("root", "node").alias("root")).alias("m"))
-             .groupBy("bucket").agg(F.collect_list("m").alias("ms"), F.min("m.root").alias("low"), F.max("m.root").alias("high"))
-             .filter("low <> high"), few=True)
+    open_ = cut(buckets.filter(F.size("ms") > 2)
+                .select("bucket", F.explode(F.slice("ms", F.lit(2), F.size("ms") - 1)).alias("m")).select("bucket", "m.*", F.col("m.cid").alias("node"))
+                .join(known, "node", "left")
+                .select("bucket", F.struct("node", "at", "n", F.coalesce("root", "node").alias("root")).alias("m"))
+                .groupBy("bucket").agg(F.collect_list("m").alias("ms"), F.min("m.root").alias("low"), F.max("m.root").alias("high"))
+                .filter("low <> high"), few=True)
     if not open_.count():
         return known
 
     def across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for ms in batch["ms"]:
-                node, root = (np.array([m[k] for m in ms], np.int64) for k in ("node", "root"))
-                n = node & MOST
+                node, root, n, at = (np.array([m[k] for m in ms], np.int64) for k in ("node", "root", "n", "at"))
                 step = max(1, STEP // len(node))
                 for i in range(0, len(node), step):
-                    x, y = np.nonzero((root[i:i + step, None] != root[None]) & (node[i:i + step, None] < node[None])
-                                      & ((np.maximum(n[i:i + step, None], n) == MOST)
-                                         | (np.minimum(n[i:i + step, None], n) >= least * np.maximum(n[i:i + step, None], n) - 1e-9)))
+                    one = slice(i, i + step)
+                    x, y = np.nonzero((root[one, None] != root[None]) & (node[one, None] < node[None])
+                                      & room((n - at)[one, None], n[one, None], n[None], least) & room((n - at)[None], n[None], n[one, None], least))
                     if len(x):
                         yield pd.DataFrame({"a": node[i + x], "b": node[y]})
 

@@ -68,6 +68,41 @@ def test_prefixes_of_similar_sets_meet():
             assert len(np.intersect1d(*(J.prefix_of(x, common, rank, 0.8) for x in (a, b))))
 
 
+def test_similar_sets_have_room_from_their_first_shared_shingle_on():
+    rng = np.random.default_rng(6)
+    ruled_out = 0
+    for _ in range(2000):
+        common = np.sort(rng.choice(1000, 50, replace=False))
+        a = np.unique(rng.integers(0, 1000, rng.integers(1, 60)))
+        b = np.unique(np.concatenate((a[rng.random(len(a)) < rng.uniform(0.6, 1)], rng.integers(0, 1000, rng.integers(0, 6)))))
+        x, y = (J.prefix_of(s, common, np.arange(50), 0.8).tolist() for s in (a, b))
+        first = next((k for k in x if k in y), None)
+        can = first is not None and J.room(len(a) - x.index(first), len(a), len(b), 0.8) and J.room(len(b) - y.index(first), len(b), len(a), 0.8)
+        both = len(np.intersect1d(a, b))
+        assert can or not len(b) or both < 0.8 * (len(a) + len(b) - both)
+        ruled_out += first is not None and not can
+    assert ruled_out > 100
+
+
+def test_candidates_do_not_grow_with_the_square_of_a_group(spark, monkeypatch):
+    """Variants of one text, too far from each other to link: all of them were met in pairs."""
+    rng = random.Random(3)
+    base = [f"w{rng.randint(0, 9000)}" for _ in range(200)]
+    texts = []
+    for i in range(40):
+        copy = list(base)
+        for k in range(6):
+            copy[3 + i % 20 + 30 * k] = f"new{rng.random()}"
+        texts.append(" ".join(copy))
+    want, links = slow_components(texts)
+    assert links < 60
+    met = []
+    monkeypatch.setattr(J, "_linked", lambda pairs, *rest, f=J._linked: met.append(pairs.distinct().count()) or f(pairs, *rest))
+    kept = J.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want))
+    assert sum(met) <= 4 * len(texts)
+
+
 def test_rows_without_id_or_under_one_id_are_judged_by_text(spark, clashing):
     rows = [(None, "one text without an id"), (None, "another text without an id"), (5, "this text has number five"), (5, "so has that other text"),
             (6, "twice the same"), (6, "twice the same"), (None, "THIS text has number five"), (7, None), (8, " ")]

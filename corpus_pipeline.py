@@ -32,7 +32,7 @@ def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (packed, and as digests) of every document, and a digest of what they decode to."""
-    return bpe.digests(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=True)
+    return bpe.digests(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=True, forget=True)
 
 
 STAGES = [

@@ -107,33 +107,44 @@ class Coder:
         out.append(self.closed(rest))
         return b"".join(out)
 
+    def forget(self) -> None:
+        """Empty the caches."""
+        self.pieces, self.chunks = Pieces(self.pieces.tokenizer), {}
+
     def decode(self, ids: bytes) -> str:
         return " ".join(self.names[np.frombuffer(ids, dtype="<u4")].tolist())
 
 
 @lru_cache(maxsize=1)
 def coder(path: str) -> Coder:
-    """One per worker process, so that caches outlive a task."""
+    """One per worker process, so that caches can outlive a task."""
     return Coder(path)
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids: binary, decoded: string); ``path`` names the tokenizer file on every executor."""
+def encode(docs: DataFrame, path: str, forget: bool = False) -> DataFrame:
+    """(doc_id, ids: binary, decoded: string); ``path`` names the tokenizer file on every executor.
+
+    With ``forget`` a task leaves no caches behind in its worker, for jobs whose other stages need the memory.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = coder(path)
-        for batch in batches:
-            for i in range(0, len(batch), ROWS_OUT):
-                part = batch.iloc[i:i + ROWS_OUT]
-                texts = [(t or "").replace("\n", " ") for t in part["text"]]
-                ids = [own.encode(t) for t in texts]
-                yield pd.DataFrame({"doc_id": part["doc_id"].array, "ids": ids, "decoded": [own.decode(i) for i in ids]})
+        try:
+            for batch in batches:
+                for i in range(0, len(batch), ROWS_OUT):
+                    part = batch.iloc[i:i + ROWS_OUT]
+                    texts = [(t or "").replace("\n", " ") for t in part["text"]]
+                    ids = [own.encode(t) for t in texts]
+                    yield pd.DataFrame({"doc_id": part["doc_id"].array, "ids": ids, "decoded": [own.decode(i) for i in ids]})
+        finally:
+            if forget:
+                own.forget()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, ids binary, decoded string")
 
 
-def digests(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
+def digests(docs: DataFrame, path: str, keep_ids: bool = False, forget: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids) of every row."""
-    return encode(docs, path).select(
+    return encode(docs, path, forget).select(
         "doc_id", F.expr("octet_length(ids) div 4").cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), *["ids"] * keep_ids)

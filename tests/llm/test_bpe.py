@@ -67,3 +67,26 @@ def test_digests(odd_docs, no_docs, plain):
 def test_tokenizer_that_joins_words_is_refused():
     with pytest.raises(ValueError):
         bpe.Coder(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+class InProcess:
+    """Runs a Python map over pandas batches here instead of in a worker."""
+
+    def __init__(self, docs, batches):
+        self.schema, self.batches = docs.schema, batches
+
+    def select(self, *columns):
+        return self
+
+    def mapInPandas(self, run, schema):
+        return list(run(iter(self.batches)))
+
+
+def test_a_task_that_is_told_to_forget_leaves_no_caches(spark):
+    docs = spark.createDataFrame(list(enumerate(texts())), "doc_id long, text string")
+    batches = [docs.toPandas()] * 2
+    kept = bpe.encode(InProcess(docs, batches), PATH)
+    assert len(bpe.coder(PATH).pieces) > 500 and bpe.coder(PATH).chunks
+    gone = bpe.encode(InProcess(docs, batches), PATH, forget=True)
+    assert len(bpe.coder(PATH).pieces) + len(bpe.coder(PATH).pieces.older) + len(bpe.coder(PATH).chunks) == 1  # the empty piece
+    assert all(a.equals(b) for a, b in zip(kept, gone, strict=True))

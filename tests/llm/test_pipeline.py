@@ -52,3 +52,14 @@ def test_eleven_queries_are_registered():
     names = contract.queries()
     assert "pipeline" in names and all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11))
     assert set(queries.oracle_sql()) <= set(names)
+
+
+def test_stages_hand_few_texts_at_once_to_python(spark):
+    docs = spark.createDataFrame([(i, f"text number {i}") for i in range(2500)], "doc_id long, text string").coalesce(1)
+    dict(corpus_pipeline.STAGES)["bpe"](spark, docs, "")
+
+    def sizes(batches):
+        for batch in batches:
+            yield batch.head(1).assign(n=len(batch))[["n"]]
+
+    assert [r.n for r in docs.mapInPandas(sizes, "n long").collect()] == [1000, 1000, 500]

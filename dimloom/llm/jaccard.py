@@ -242,6 +242,48 @@ def _linked(pairs: DataFrame, texts: _Texts, marks: DataFrame, least: float) ->
                .filter(near("sa", "sb")).select("a", "b"), few=True)
 
 
+def may_be_near(x: np.ndarray, y: np.ndarray, n: np.ndarray, marks: list[bytes], least: float) -> np.ndarray:
+    """``can_be_near`` of many pairs of places in ``n`` and in the packed ``marks``; ``STEP`` bytes and more of marks at once."""
+    length = np.array([len(m) for m in marks])
+    width, out = np.minimum(length[x], length[y]), np.zeros(len(x), bool)
+    for w in np.unique(width):
+        of = np.flatnonzero(width == w)
+        places, back = np.unique(np.concatenate((x[of], y[of])), return_inverse=True)
+        bits = np.stack([np.packbits(np.unpackbits(np.frombuffer(marks[p], np.uint8)).reshape(8 * w, -1).any(1)) for p in places]).view(np.uint64)
+        step = max(1, 8 * STEP // w)
+        for i in range(0, len(of), step):
+            one, a, b = of[i:i + step], bits[back[:len(of)][i:i + step]], bits[back[len(of):][i:i + step]]
+            na, nb = n[x[one]], n[y[one]]
+            both = np.minimum(na - np.bitwise_count(a & ~b).sum(1, dtype=np.int64), nb - np.bitwise_count(b & ~a).sum(1, dtype=np.int64))
+            out[one] = both * (1 + least) >= least * (na + nb) - 1e-6
+    return out
+
+
+def _across(open_: DataFrame, marks: DataFrame, least: float) -> DataFrame:
+    """(a, b): pairs of different components of a bucket that positions and marks leave room for.
+
+    Marks are dealt to the members of a bucket, not to its pairs, so what a bucket hands on are the pairs that may be links, however many it has in all.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                node, root, n, at = (batch[k][i].values.to_numpy(zero_copy_only=False).astype(np.int64) for k in ("node", "root", "n", "at"))
+                raw, step = batch["mark"][i].as_py(), max(1, STEP // len(node))
+                for first in range(0, len(node), step):
+                    one = slice(first, first + step)
+                    x, y = np.nonzero((root[one, None] != root[None]) & (node[one, None] < node[None])
+                                      & room((n - at)[one, None], n[one, None], n[None], least) & room((n - at)[None], n[None], n[one, None], least))
+                    x += first
+                    if len(x):
+                        near = may_be_near(x, y, n, raw, least)
+                        yield pa.RecordBatch.from_pydict({"a": node[x[near]], "b": node[y[near]]})
+
+    members = open_.select("bucket", F.explode("ms").alias("m")).select("bucket", "m.*")
+    marked = (members.join(marks.select(F.col("cid").alias("node"), "mark"), "node")
+              .groupBy("bucket").agg(F.collect_list(F.struct("node", "root", "n", "at", "mark")).alias("ms")))
+    return marked.select("ms.node", "ms.root", "ms.n", "ms.at", "ms.mark").mapInArrow(run, "a bigint, b bigint")
+
+
 def roots(docs: DataFrame, named: DataFrame, size: int = 5, least: float = 0.8) -> DataFrame:
     """(node, root) of the classes of texts that have a link; ``named`` has the class (cid), fingerprint (fp) and hash (text_hash) of every text."""
     buckets = _buckets(docs, size, least)
@@ -265,19 +307,7 @@ def roots(docs: DataFrame, named: DataFrame, size: int = 5, least: float = 0.8)
     if not open_.count():
         return known
 
-    def across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for ms in batch["ms"]:
-                node, root, n, at = (np.array([m[k] for m in ms], np.int64) for k in ("node", "root", "n", "at"))
-                step = max(1, STEP // len(node))
-                for i in range(0, len(node), step):
-                    one = slice(i, i + step)
-                    x, y = np.nonzero((root[one, None] != root[None]) & (node[one, None] < node[None])
-                                      & room((n - at)[one, None], n[one, None], n[None], least) & room((n - at)[None], n[None], n[one, None], least))
-                    if len(x):
-                        yield pd.DataFrame({"a": node[i + x], "b": node[y]})
-
-    more = _linked(open_.select("ms").mapInPandas(across, "a bigint, b bigint"), texts, marks, least)
+    more = _linked(_across(open_, marks, least), texts, marks, least)
     # What is known is a forest of stars, so the new links alone take rounds.
     return cut(contract(known.toDF("a", "b").union(more)), few=True)
 

@@ -144,6 +144,23 @@ def test_marks_never_rule_out_a_similar_pair():
     assert ruled_out > 200
 
 
+def test_a_bucket_hands_on_the_pairs_that_marks_leave_room_for(spark):
+    """Unlike texts of one bucket, each a component: 19,900 pairs, of which those that ``can_be_near`` lets pass remain."""
+    rng, least = np.random.default_rng(11), 0.8
+    sets = [np.unique(rng.integers(-(1 << 63), 1 << 63, int(n), dtype=np.int64)) for n in rng.integers(15, 260, 180)]
+    for x in sets[:20]:  # a partner with one to some tenths of the shingles replaced, for some on the other side of a mark's length
+        some = max(1, int(len(x) * rng.uniform(0.01, 0.1)))
+        sets.append(np.unique(np.concatenate((x[some:], rng.integers(-(1 << 63), 1 << 63, int(some * rng.uniform(0.2, 1.2)), dtype=np.int64)))))
+    marks = [J.mark_of(s) for s in sets]
+    want = {(i, j) for i in range(200) for j in range(i + 1, 200) if J.can_be_near(len(sets[i]), marks[i], len(sets[j]), marks[j], least)}
+    assert 15 <= len(want) < 200 and len({len(m) for m in marks}) > 4
+    packed = [(i, len(s), bytes(np.packbits(m))) for i, (s, m) in enumerate(zip(sets, marks))]
+    members = [{"node": i, "root": i, "n": n, "at": 0} for i, n, _ in packed]
+    open_ = spark.createDataFrame([(1, members)], "bucket long, ms array<struct<node: long, root: long, n: int, at: int>>")
+    found = J._across(open_, spark.createDataFrame(packed, "cid long, n long, mark binary"), least).collect()
+    assert sorted((r.a, r.b) for r in found) == sorted(want)
+
+
 def test_packed_hashes_keep_their_upper_bits():
     a = np.sort(np.random.default_rng(1).integers(-2**63, 2**63 - 1, 500))
     assert (J.unpacked(J.packed(a)) == (a.view(np.uint64) >> np.uint64(16)).astype(np.int64)).all()

@@ -12,7 +12,7 @@ never the result.
 
 Under the first shingle that two texts share, none of what either has before it is in the other, so a pair counts there only if what is
 left of both leaves room for the similarity.  Texts met under one shingle are compared with the one that has the fewest before it; only where
-that leaves more than one component are the other pairs compared.  A link is a pair whose whole sets reach ``least``; no document goes without a chain of such links to the one that stays.
+that leaves more than one component are the other pairs compared, by their marks inside the bucket, so only pairs that may be links become rows.  A link is a pair whose whole sets reach ``least``; no document goes without a chain of such links to the one that stays.
 
 Defined results: texts of the same words are copies, and so are null and wordless ones; rows are told apart by id and text, so rows with a null
 id, or with one id and several texts, are judged apart; of a component the row with the least id stays (a null id last), of its repetitions one;

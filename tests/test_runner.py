@@ -91,6 +91,17 @@ def test_two_runs_and_a_run_without_news(spark, warehouse):
     assert summary.count() == 7
 
 
+def test_a_load_leaves_no_scratch(spark, warehouse):
+    """Only the tables stay on disk: settled rows go with the step that needed them."""
+    from pathlib import Path
+
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    known = set(folder.iterdir())
+    for day, rows in ((D(2024, 2, 1), FIRST), (D(2024, 3, 1), FIRST + LATER)):
+        run(warehouse, staffing(spark, *rows), day)
+        assert set(folder.iterdir()) == known
+
+
 def test_unchanged_rows_rewrite_nothing(spark, warehouse):
     run(warehouse, staffing(spark, FIRST[1]), D(2024, 2, 1))
     again = ("s1", "e2", "p", D(2024, 1, 1), 20, D(2024, 2, 20))

@@ -151,3 +151,29 @@ def test_rows_of_a_scope_are_written_unshuffled(spark, tmp_path):
     ids = spark.createDataFrame([(3,)], "run_id long")
     back = table.read(ids, {"project_id": ["P/1"], "dt_reporting": [DAY.isoformat()]})
     assert sorted(r.cost_key for r in back.collect()) == list(range(400)) and back.select("project_id", "dt_reporting").distinct().first() == ("P/1", DAY)
+
+
+def test_a_staffing_load_writes_its_rows_to_scratch_twice(spark, warehouse, monkeypatch):
+    """The feed once, and once the looked-up rows with the keys of both tables; nothing of it stays."""
+    from pathlib import Path
+
+    from dimloom.operators import keys
+
+    written, folder = [], Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    known = set(folder.iterdir())
+    for module in (scope_runner, keys):
+        settle = module.settle
+        monkeypatch.setattr(module, "settle", lambda df, name, f=settle: written.append((name, "gcs_key" in df.columns and "employee_id" in df.columns)) or f(df, name))
+    staffing(warehouse, feed(spark, AU, UK, UK), 1)
+    assert [name for name, _ in written] == ["feed", "placed", "placed"]  # the first of the numberings is that of the codings
+    assert [wide for _, wide in written] == [False, False, True]
+    assert set(folder.iterdir()) == known
+    for name, key, n in (("valid_staffing_schedule", "staffing_schedule_key", 3), ("valid_staffing_timeline", "staffing_timeline_key", 9)):
+        assert sorted(r[key] for r in rows(warehouse, name).collect()) == list(range(1, n + 1))
+
+
+def test_a_table_without_rows_is_joined_with_nothing(spark, warehouse):
+    empty = rows(warehouse, "valid_staffing_schedule")
+    assert empty.count() == 0 and empty.schema == scope_runner.table(warehouse, "valid_staffing_schedule").schema
+    joined = spark.range(10).toDF("gcs_key").join(empty, "gcs_key", "full_outer")
+    assert "Join" not in joined._jdf.queryExecution().executedPlan().toString() and joined.count() == 10
